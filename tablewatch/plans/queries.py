@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import names, rules, text
 from ..functions.bands import VOLUME, add_bands, rolling_sums
@@ -436,8 +437,8 @@ def hourly_report(spark, sf):
         F.concat(F.lit("/logs/"), F.col("name")).alias("path"), "table_bytes", "queries",
     )
     cut = sizes.cutoff_table(feeds.measured_days(spark, sf))
-    at = 1_706_572_800 + 11 * 3600
-    return volume.hourly_report(flags, cut, merged, EVENT_DAY, 11, at)
+    at = 1_706_572_800 + 17 * 3600
+    return volume.hourly_report(flags, cut, merged, EVENT_DAY, 17, at)
 
 
 # --- metrics
@@ -618,5 +619,5 @@ def csv_list(spark, sf):
         F.col("p_brand").alias("name"), F.concat(F.col("p_type"), F.lit("\\,x")).alias("column_name")
     ).distinct()
     listed.select(F.concat_ws(",", "name", "column_name")).write.text(where)
-    back = read_list(spark, where, "name string, column_name string")
+    back = read_list(spark, where, StructType().add("name", "string").add("column_name", "string"))
     return back.select("name", "column_name")

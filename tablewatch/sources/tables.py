@@ -30,15 +30,18 @@ def read_days(
     return days_between(read_table(spark, location, fmt), day_from, day_to, column)
 
 
-def read_list(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Comma-separated text lists with backslash escapes and a known schema."""
-    return (
-        spark.read.schema(schema)
-        .option("sep", ",")
-        .option("escape", "\\")
-        .option("quote", "")
-        .csv(path)
-    )
+def read_list(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Comma-separated text lists with backslash escapes and a known schema.
+
+    Such lists have no quotes, and Spark's CSV reader honours escapes inside quotes only, so lines
+    are cut at unescaped commas here.
+    """
+    fields = F.split("value", "(?<!\\\\),")
+    cells = [
+        F.regexp_replace(F.get(fields, F.lit(i)), "\\\\(.)", "$1").try_cast(f.dataType).alias(f.name)
+        for i, f in enumerate(schema.fields)
+    ]
+    return spark.read.text(path).select(*cells)
 
 
 def write_partitions(
