@@ -62,18 +62,17 @@ def in_progress(path: str | Column = "path") -> Column:
 
 
 def partition_value(path: str | Column, key: str) -> Column:
-    """Value of a ``key=value`` path segment, null when the segment is absent."""
-    found = F.regexp_extract(_c(path), f"(?:^|/){key}=([^/]+)", 1)
-    return F.when(found != "", found)
+    """Value of the first ``/key=value`` path segment, null when the segment is absent."""
+    rest = F.split_part(_c(path), F.lit(f"/{key}="), F.lit(2))
+    return F.nullif(F.substring_index(rest, "/", 1), F.lit(""))
 
 
 def table_segment(path: str | Column) -> Column:
     """Last directory before the first ``day=`` segment, or before the file name."""
-    head = F.substring_index(_c(path), "/day=", 1)
-    head = F.when(_c(path).contains("/day="), head).otherwise(
-        F.regexp_replace(_c(path), "/[^/]*$", "")
-    )
-    return F.element_at(F.split(head, "/"), -1)
+    path = _c(path)
+    head = F.split_part(path, F.lit("/day="), F.lit(1))
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.when(path.contains("/day="), F.substring_index(head, "/", -1)).otherwise(folder)
 
 
 def strip_scheme(path: str | Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.names import _c
-from ..functions.rules import as_date, epoch_ms_clock, epoch_ms_date, is_fresh
+from ..functions.rules import as_date, epoch_ms_clock, epoch_ms_date, is_fresh, run_flag
 
 NUMERIC = ("float", "int", "bigint", "double")
 
@@ -143,14 +143,32 @@ def table_profile(schema: StructType, app: str = "", skip: tuple[str, ...] = ())
     return TableProfile(classes, sorted(c for c, k in classes.items() if k == "main_dimension"))
 
 
-def column_sets(catalog: DataFrame) -> DataFrame:
+CLASSES = ("uid", "string_id", "num_id", "main_dimension", "not_monitor", "values", "attributes")
+
+
+def column_sets(catalog: DataFrame, keys: tuple[str, ...] = ("app_name", "name")) -> DataFrame:
     """Per table one sorted list of columns for every class; lists are as long as the schema is wide."""
     classed = catalog.withColumn("column_class", column_class())
     lists = [
         F.array_sort(F.collect_set(F.when(F.col("column_class") == c, F.col("column_name")))).alias(c)
-        for c in ("uid", "string_id", "num_id", "main_dimension", "not_monitor", "values", "attributes")
+        for c in CLASSES
     ]
-    return classed.groupBy("app_name", "name").agg(*lists)
+    return classed.groupBy(*keys).agg(*lists)
+
+
+# Attributes a table carries from the column catalog into its profile.
+TABLE_ATTRIBUTES = (
+    "app_name", "name", "owner", "partition_keys", "table_bytes", "update_clock", "queries",
+    "day_bytes", "downstream",
+)
+
+
+def profile_config(catalog: DataFrame, run: str | None = None) -> DataFrame:
+    """One row per table with its attributes, its columns by class and its run, smallest first."""
+    config = column_sets(catalog, TABLE_ATTRIBUTES).withColumn("run_flag", run_flag())
+    if run is not None:
+        config = config.where(F.col("run_flag") == run)
+    return config.orderBy("day_bytes", "name")
 
 
 def _fresh_edges(edges: DataFrame, as_of, max_age: int) -> DataFrame:

@@ -126,26 +126,46 @@ def return_metrics(spark, sf) -> DataFrame:
 # --- events as partition files
 
 
-def listing(spark, sf) -> DataFrame:
-    """One file per event: clicks share one table, told apart by user; other types have one per user."""
-    e = table(spark, sf, "events")
-    bucket = F.col("user_id").cast("string")
+def _event_files(spark, sf) -> DataFrame:
+    """One file per event: clicks share one table, told apart by user; other types have one per user.
+
+    Files of low value are still in progress.
+    """
     shared = F.col("event_type") == "click"
-    name = F.when(shared, F.lit("click")).otherwise(F.concat("event_type", F.lit("_"), bucket))
-    state = F.when(F.col("value") < 0.5, ".inprogress.").otherwise(".")
-    path = F.concat(
-        F.lit("hdfs://warehouse:8020/logs/"), name,
-        F.lit("/day="), F.date_format("ts", "yyyy-MM-dd"),
-        F.lit("/hour="), F.date_format("ts", "HH"),
-        F.when(shared, F.concat(F.lit("/event_id="), bucket)).otherwise(""),
-        F.lit("/part-"), F.col("event_id").cast("string"), state, F.lit("orc"),
+    bucket = F.col("user_id").cast("string")
+    return table(spark, sf, "events").select(
+        F.when(shared, "click").otherwise(F.concat("event_type", F.lit("_"), bucket)).alias("name"),
+        F.when(shared, bucket).otherwise("").alias("event_id"),
+        F.to_date("ts").alias("day"),
+        F.hour("ts").alias("hour"),
+        (F.octet_length("props") + cents("value")).alias("length"),
+        F.col("ts").alias("modificationTime"),
+        F.coalesce(F.col("value") < 0.5, F.lit(False)).alias("open"),
+        F.col("event_id").alias("part"),
     )
-    size = F.octet_length("props") + cents("value")
-    return e.select(path.alias("path"), size.alias("length"), F.col("ts").alias("modificationTime"))
 
 
 def files(spark, sf) -> DataFrame:
-    return describe_files(listing(spark, sf))
+    """Finished files as :func:`describe_files` gives them, without their paths."""
+    return _event_files(spark, sf).where(~F.col("open")).drop("open", "part")
+
+
+def registry(spark, sf) -> DataFrame:
+    """All partitions that were opened, those whose files are still in progress too."""
+    return _event_files(spark, sf).select("name", "event_id", "day", "hour").distinct()
+
+
+def listing(spark, sf) -> DataFrame:
+    """The same files as a plain listing: path, length and time."""
+    state = F.when(F.col("open"), ".inprogress.").otherwise(".")
+    path = F.concat(
+        F.lit("hdfs://warehouse:8020/logs/"), F.col("name"),
+        F.lit("/day="), F.col("day").cast("string"),
+        F.lit("/hour="), F.lpad(F.col("hour").cast("string"), 2, "0"),
+        F.when(F.col("event_id") != "", F.concat(F.lit("/event_id="), F.col("event_id"))).otherwise(""),
+        F.lit("/part-"), F.col("part").cast("string"), state, F.lit("orc"),
+    )
+    return _event_files(spark, sf).select(path.alias("path"), "length", "modificationTime")
 
 
 def kind_of(name: str = "name") -> Column:
@@ -360,9 +380,9 @@ AUDIT_ROOT = "/data/logs/"
 
 
 def path_audit(spark, sf) -> DataFrame:
-    """Every page as a read of its host's directory by one of 50 applications."""
+    """Every page as a read of its host's directory by one of 997 applications."""
     host = F.split_part(F.col("url"), F.lit("/"), F.lit(3))
-    app = F.format_string("%04d", F.col("page_id") % 50)
+    app = F.format_string("%04d", F.col("page_id") % 997)
     return table(spark, sf, "pages").select(
         F.concat(F.lit(AUDIT_ROOT), host, F.lit("/day=2024-01-01/part-"), F.col("page_id").cast("string")).alias("src"),
         F.concat(F.lit("rpc_application_170_"), app, F.lit("_x")).alias("proto"),
@@ -372,7 +392,7 @@ def path_audit(spark, sf) -> DataFrame:
 
 def excluded_apps(spark, sf) -> DataFrame:
     """Applications of documents labelled toxic."""
-    app = F.format_string("application_170_%04d", F.col("doc_id") % 50)
+    app = F.format_string("application_170_%04d", F.col("doc_id") % 997)
     return table(spark, sf, "labels").where("toxic = 1").select(
         app.alias("app_id"), F.lit("2024-01-02").cast("date").alias("day")
     )

@@ -182,6 +182,10 @@ CTE = {
         o_orderpriority AS area, CAST(o_orderdate AS DATE) AS day FROM orders""",
     "actions": """SELECT event_id AS action_id, user_id, event_type AS app,
         CAST(round(value*100) AS BIGINT) AS pay_cnt, props, CAST(ts AS DATE) AS day FROM events""",
+    "opened": """SELECT DISTINCT CASE WHEN event_type='click' THEN 'click' ELSE event_type||'_'||user_id END AS name,
+        CASE WHEN event_type='click' THEN CAST(user_id AS VARCHAR) ELSE '' END AS event_id, CAST(ts AS DATE) AS day FROM events""",
+    "edays": """SELECT name, event_id, day, CAST(sum(length) AS BIGINT) AS bytes FROM (
+          SELECT name, event_id, day, length FROM files UNION ALL SELECT name, event_id, day, 0 FROM opened) GROUP BY ALL""",
     "files": """SELECT *, '/logs/'||name||'/day='||strftime(ts,'%Y-%m-%d')||'/hour='||strftime(ts,'%H')
           ||CASE WHEN event_id<>'' THEN '/event_id='||event_id ELSE '' END||'/part-'||id||'.orc' AS path
         FROM (SELECT CASE WHEN event_type='click' THEN 'click' ELSE event_type||'_'||user_id END AS name,
@@ -287,8 +291,7 @@ CTE = {
             min(CASE WHEN bytes=0 AND (lastfull IS NULL OR day>lastfull) THEN day END) AS empty_since,
             max(day) AS last_day
           FROM (SELECT *, max(CASE WHEN bytes>0 THEN day END) OVER (PARTITION BY name, event_id) AS lastfull
-                FROM (SELECT name, event_id, day, sum(length) AS bytes FROM files GROUP BY ALL)
-                WHERE day<=DATE '2024-01-30') GROUP BY name, event_id)""",
+                FROM edays WHERE day<=DATE '2024-01-30') GROUP BY name, event_id)""",
     "fresh": f"""SELECT name, event_id, file_bytes, CASE WHEN a>=100 THEN 'CutOff100+Days'
           WHEN a>0 OR (a=0 AND strftime(written,'%H:%M')<='09:00') THEN 'CutOff'||(a+1)||'Days'
           ELSE 'normal' END AS status
@@ -353,6 +356,13 @@ CTE = {
 }
 
 
+def median(c: str) -> str:
+    """Half of the lower plus half of the upper middle value of the history."""
+    y = f"list_sort(list({c}) FILTER (WHERE NOT now AND {c} IS NOT NULL))"
+    k = f"count({c}) FILTER (WHERE NOT now)"
+    return f"(0.5e0*{y}[({k}+1)//2]+0.5e0*{y}[{k}//2+1])"
+
+
 def shared_metrics(source: str) -> dict[str, str]:
     """Steps from a metric store to flagged series."""
     return {
@@ -368,8 +378,8 @@ def shared_metrics(source: str) -> dict[str, str]:
         "msums": f"""SELECT dimension, metric,
               max(CASE WHEN now THEN value END) AS value, max(CASE WHEN now THEN value_share END) AS value_share,
               max(CASE WHEN now THEN row_share END) AS row_share, max(CASE WHEN now THEN row_num END) AS row_num,
-              {r2('median(CASE WHEN NOT now THEN value_share END)')} AS usual_value_share,
-              {r2('median(CASE WHEN NOT now THEN row_share END)')} AS usual_row_share,
+              {r2(median('value_share'))} AS usual_value_share,
+              {r2(median('row_share'))} AS usual_row_share,
               max(metric_class) AS metric_class, {sums('value', 'NOT now')}
             FROM (SELECT *, day=DATE '2001-07-26' AS now,
               row_number() OVER (PARTITION BY dimension, metric ORDER BY day)-1 AS i FROM kept)
@@ -477,10 +487,10 @@ ORACLE: dict[str, str] = {
           UNION ALL SELECT DISTINCT lower(l_returnflag)||'.'||lower(l_linestatus), '', 'event', '', 'NotFound', 0, 0, ''
           FROM lineitem""", "parts"),
     "usage_by_path": """WITH audit AS (
-          SELECT '/data/logs/'||split_part(url,'/',3) AS directory, 'application_170_'||lpad(CAST(page_id%50 AS VARCHAR),4,'0') AS app_id,
+          SELECT '/data/logs/'||split_part(url,'/',3) AS directory, 'application_170_'||lpad(CAST(page_id%997 AS VARCHAR),4,'0') AS app_id,
             CASE WHEN url LIKE 'https%' THEN DATE '2024-01-02' ELSE DATE '2024-01-03' END AS day FROM pages)
         SELECT split_part(directory,'/',-1) AS name, count(DISTINCT app_id) AS queries FROM audit
-        WHERE app_id NOT IN (SELECT 'application_170_'||lpad(CAST(doc_id%50 AS VARCHAR),4,'0') FROM labels WHERE toxic=1)
+        WHERE app_id NOT IN (SELECT 'application_170_'||lpad(CAST(doc_id%997 AS VARCHAR),4,'0') FROM labels WHERE toxic=1)
         GROUP BY 1""",
     "recent_usage": sql(
         """SELECT name, CAST(max(queries) AS BIGINT) AS queries FROM (
@@ -503,7 +513,7 @@ ORACLE: dict[str, str] = {
           UNION ALL SELECT lower(p_brand), p_name, lower(p_type), 2 FROM part)
         SELECT app_name, name, table_source FROM (SELECT *, row_number() OVER (PARTITION BY name
             ORDER BY prefer DESC, app_name DESC, table_source DESC) AS rn FROM r
-          WHERE name<>'' AND name NOT IN (SELECT p_name FROM part WHERE p_retailprice<905)) WHERE rn=1""",
+          WHERE name<>'' AND name NOT IN (SELECT p_name FROM part WHERE p_name LIKE 'hot %')) WHERE rn=1""",
     "downstream_owners": sql(
         """SELECT name, string_agg(owner, ',' ORDER BY owner) AS downstream FROM (SELECT DISTINCT name, lower(owner) AS owner
            FROM edges WHERE depth=1 AND owner<>'' AND updated>=DATE '1998-06-13' AND updated<>DATE '1970-01-01') GROUP BY name""",
@@ -556,6 +566,14 @@ ORACLE: dict[str, str] = {
         f"""SELECT name, {', '.join(f"coalesce(string_agg(DISTINCT column_name, ',' ORDER BY column_name) FILTER (WHERE k='{k}'),'') AS {'"values"' if k == 'values' else k}" for k in ('uid','string_id','num_id','not_monitor','values','attributes'))}
             FROM (SELECT name, column_name, {_column_class()} AS k FROM (SELECT *, 'shop' AS app_name FROM pcolumns)) GROUP BY name""",
         "parts", "pcolumns"),
+    "profile_config": sql(
+        f"""SELECT name, owner, update_clock, day_bytes, 'else' AS run_flag,
+              {', '.join(f"coalesce(string_agg(DISTINCT column_name, ',' ORDER BY column_name) FILTER (WHERE k='{k}'),'') AS {'"values"' if k == 'values' else k}" for k in ('uid','num_id','values'))}
+            FROM (SELECT p.*, strftime(epoch_ms(updated_ms),'%H:%M:%S') AS update_clock, bytes%1000 AS day_bytes, column_name, k
+              FROM parts p JOIN (SELECT name, column_name, {_column_class()} AS k FROM (SELECT *, 'shop' AS app_name FROM pcolumns)) c
+                ON p.name=c.name)
+            WHERE NOT (update_clock<'07:00:00' OR lower(partition_keys) LIKE '%hour%') GROUP BY name, owner, update_clock, day_bytes""",
+        "parts", "pcolumns"),
     "profile_orders": sql(
         "SELECT area, os, " + ", ".join(f"{e} AS {m}" for m, (_, e) in CELLS["sales"].items()) + " FROM sales GROUP BY area, os",
         "sales"),
@@ -579,17 +597,17 @@ ORACLE: dict[str, str] = {
     "dimension_keys": sql(
         """SELECT 'area:'||area||',os:'||coalesce(CASE WHEN total_amount>=2000000 THEN os END,'null') AS dimension,
            count(*) AS row_num FROM sales GROUP BY 1""", "sales"),
-    "day_sizes_events": sql("SELECT name, event_id, day, CAST(sum(length) AS BIGINT) AS bytes FROM files GROUP BY ALL", "files"),
+    "day_sizes_events": sql("SELECT * FROM edays", "files", "opened", "edays"),
     "hour_sizes_events": sql("SELECT name, event_id, day, hour, CAST(sum(length) AS BIGINT) AS bytes FROM files GROUP BY ALL", "files"),
     "latest_partitions": sql(
         """SELECT name, event_id, day, bytes FROM (SELECT *, row_number() OVER (PARTITION BY name, event_id ORDER BY day DESC) AS rn
            FROM odays) WHERE rn<=110""", "odays"),
     "gap_status": sql("SELECT * FROM gaps", "odays", "gaps"),
     "full_freshness": sql("SELECT * FROM fresh", "files", extra={"fresh": CTE["fresh"].replace("ASOF", "2024-01-31")}),
-    "daily_sizes": sql("SELECT * FROM daily", "files", "watched", "egaps", extra=DAILY_FRESH),
+    "daily_sizes": sql("SELECT * FROM daily", "files", "opened", "edays", "watched", "egaps", extra=DAILY_FRESH),
     "cutoff_tables": sql(
         f"SELECT {SERIES} AS name, source_kind, status, table_bytes, queries, partition_keys, day FROM daily WHERE status<>'normal'",
-        "files", "watched", "egaps", extra=DAILY_FRESH),
+        "files", "opened", "edays", "watched", "egaps", extra=DAILY_FRESH),
     "hourly_sizes": sql(
         """SELECT name, event_id, source_kind, CASE WHEN measured THEN concat_ws('/', path, '/day=2024-01-30'[2:],
                CASE WHEN partition_keys LIKE '%hour%' THEN 'hour=09' END,
@@ -603,7 +621,7 @@ ORACLE: dict[str, str] = {
              LEFT JOIN (SELECT name, event_id, count(*) AS k, CAST(sum(CASE WHEN hour=9 THEN length END) AS BIGINT) AS b FROM files
                WHERE day=DATE '2024-01-30' GROUP BY name, event_id) h USING (name, event_id)
              WHERE source_kind<>'db_export')""",
-        "files", "watched", "egaps"),
+        "files", "opened", "edays", "watched", "egaps"),
     "volume_history": sql("SELECT * FROM vhist", *VOL),
     "band_volume": sql(
         "SELECT name, event_id, source_kind, file_bytes, n, std_lo, std_hi, trend_lo, trend_hi, band_lo, band_hi, centre FROM vscored",

@@ -18,7 +18,7 @@ from ..functions.bands import VOLUME, add_bands, rolling_sums
 from ..operators import columns, inventory, metrics, profile, report, sizes, usage, volume
 from ..operators.joins import without
 from ..session import shared_dir
-from ..sources.files import list_files
+from ..sources.files import describe_files, list_files
 from ..sources.tables import days_between, read_days, read_list, write_partitions
 from . import feeds
 
@@ -70,7 +70,7 @@ def repaired_paths(spark, sf):
 
 @query
 def path_parts(spark, sf):
-    f = feeds.files(spark, sf)
+    f = describe_files(feeds.listing(spark, sf))
     return f.select("path", "name", "event_id", "day", "hour", F.col("length").cast("long").alias("length"))
 
 
@@ -157,7 +157,7 @@ def prefer_source(spark, sf):
     business = feeds.table(spark, sf, "part").select(
         F.lower("p_brand").alias("app_name"), F.col("p_name").alias("name"), F.lower("p_type").alias("table_source")
     )
-    listed = feeds.table(spark, sf, "part").where("p_retailprice < 905").select(F.col("p_name").alias("name"))
+    listed = feeds.table(spark, sf, "part").where("p_name like 'hot %'").select(F.col("p_name").alias("name"))
     return usage.monitored_tables(mentions, business, listed)
 
 
@@ -220,6 +220,21 @@ def column_sets(spark, sf):
     return sets.select("name", *[F.concat_ws(",", k).alias(k) for k in ("uid", "string_id", "num_id", "not_monitor", "values", "attributes")])
 
 
+@query
+def profile_config(spark, sf):
+    """Tables with their columns by class, as the profile runs take them."""
+    c = feeds.catalog(spark, sf).select(
+        "name", F.lit("shop").alias("app_name"), F.col("owner"), F.lower("partition_keys").alias("partition_keys"),
+        F.col("bytes").alias("table_bytes"), rules.epoch_ms_clock("updated_ms").alias("update_clock"),
+        "queries", (F.col("bytes") % 1000).alias("day_bytes"), F.lit("").alias("downstream"),
+    )
+    config = columns.profile_config(c.join(feeds.catalog_columns(spark, sf), "name"), "else")
+    return config.select(
+        "name", "owner", "update_clock", "day_bytes", "run_flag",
+        *[F.concat_ws(",", k).alias(k) for k in ("uid", "num_id", "values")],
+    )
+
+
 # --- profiles
 
 
@@ -279,7 +294,7 @@ def dimension_keys(spark, sf):
 
 @query
 def day_sizes_events(spark, sf):
-    return sizes.day_bytes(feeds.files(spark, sf))
+    return sizes.day_bytes(feeds.files(spark, sf), feeds.registry(spark, sf))
 
 
 @query
@@ -308,19 +323,19 @@ def full_freshness(spark, sf):
 @query
 def daily_sizes(spark, sf):
     f = feeds.files(spark, sf)
-    return sizes.daily_sizes(f, feeds.watched(spark, sf), EVENT_DAY)
+    return sizes.daily_sizes(f, feeds.watched(spark, sf), EVENT_DAY, feeds.registry(spark, sf))
 
 
 @query
 def hourly_sizes(spark, sf):
     f = feeds.files(spark, sf)
-    return sizes.hourly_sizes(f, feeds.watched(spark, sf), EVENT_DAY, 9)
+    return sizes.hourly_sizes(f, feeds.watched(spark, sf), EVENT_DAY, 9, feeds.registry(spark, sf))
 
 
 @query
 def cutoff_tables(spark, sf):
     f = feeds.files(spark, sf)
-    return sizes.cutoff_table(sizes.daily_sizes(f, feeds.watched(spark, sf), EVENT_DAY))
+    return sizes.cutoff_table(sizes.daily_sizes(f, feeds.watched(spark, sf), EVENT_DAY, feeds.registry(spark, sf)))
 
 
 # --- volumes
@@ -601,9 +616,7 @@ def partition_rerun(spark, sf):
     """Metric rows stored by day and run; a second write of the same run replaces the first."""
     where = f"{shared_dir(spark)}/tablewatch/{uuid.uuid4().hex}/metric_history"
     rows = feeds.sales_metrics(spark, sf).where("metric = 'row_num'")
-    once = rows.repartitionByRange("day").withColumn("run_flag", F.lit("early"))
-    by_run = F.trunc("day", "year")
-    stored = once.withColumn("run_day", by_run)
+    stored = rows.withColumn("run_day", F.trunc("day", "year"))
     write_partitions(stored, where, ["run_day", "run_flag"])
     write_partitions(stored.withColumn("value", F.col("value") * 2), where, ["run_day", "run_flag"])
     return read_days(spark, where, "1996-01-01", "2001-01-01", column="run_day").select(

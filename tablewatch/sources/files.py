@@ -13,15 +13,19 @@ def describe_files(listing: DataFrame) -> DataFrame:
 
     ``listing`` holds ``path, length, modificationTime``. Values that are no dates give a null day.
     """
-    path = strip_scheme("path")
-    return listing.where(~in_progress("path")).select(
-        table_segment(path).alias("name"),
-        F.coalesce(partition_value(path, "event_id"), F.lit("")).alias("event_id"),
-        F.try_to_date(partition_value(path, "day")).alias("day"),
-        partition_value(path, "hour").try_cast("int").alias("hour"),
-        path.alias("path"),
-        F.col("length"),
-        F.col("modificationTime"),
+    path = F.col("path")
+    return (
+        listing.where(~in_progress("path"))
+        .select(strip_scheme("path").alias("path"), "length", "modificationTime")
+        .select(
+            table_segment(path).alias("name"),
+            F.coalesce(partition_value(path, "event_id"), F.lit("")).alias("event_id"),
+            F.try_to_date(partition_value(path, "day")).alias("day"),
+            partition_value(path, "hour").try_cast("int").alias("hour"),
+            "path",
+            "length",
+            "modificationTime",
+        )
     )
 
 
@@ -43,7 +47,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
 def partition_registry(spark: SparkSession, table: str, name: str | None = None) -> DataFrame:
     """Partitions the catalog knows, empty ones included, which no file listing shows."""
-    path = F.col("partition")
+    path = F.concat(F.lit("/"), F.col("partition"))
     return spark.sql(f"SHOW PARTITIONS {table}").select(
         F.lit(name or table).alias("name"),
         F.coalesce(partition_value(path, "event_id"), F.lit("")).alias("event_id"),
