@@ -10,7 +10,7 @@ from ..operators.columns import MEASURE_WORDS, TIME_WORDS
 
 
 def dec(x: str) -> str:
-    return f"round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,15)),2)"
+    return f"round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,20)),2)"
 
 
 def r2(x: str) -> str:

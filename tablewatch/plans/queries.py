@@ -259,7 +259,7 @@ def profile_customer_ids(spark, sf):
 def melt_lineitem(spark, sf):
     i = feeds.items(spark, sf)
     plan = columns.table_profile(i.schema, skip=("day",))
-    return profile.profile_long(i, plan.classes, plan.dims, (), 2)
+    return profile.profile_long(i, plan.classes, plan.dims)
 
 
 @query
