@@ -73,20 +73,18 @@ def daily_metrics(df: DataFrame) -> DataFrame:
 FAT_DAY = "1999-12-31"
 
 
-def metric_store(df: DataFrame, name: str, app: str = "shop") -> DataFrame:
-    """A metric history of one fact table with its attribute columns."""
+def sales_metrics(spark, sf) -> DataFrame:
+    """A metric history of the sales, one table per order status, with its attribute columns."""
     fat = F.when(F.col("day") == FAT_DAY, 1 << 30).otherwise(400 * 1024).cast("long")
     attributes = {
-        "name": F.lit(name), "app_name": F.lit(app), "owner": F.lit("owner_of_" + name),
+        "app_name": F.lit("shop"), "owner": F.concat(F.lit("owner_of_"), F.col("name")),
         "partition_keys": F.lit("day"), "table_bytes": F.lit(3 * 1024**3).cast("long"),
         "queries": F.lit(12).cast("long"), "day_bytes": fat, "downstream": F.lit("zoe,adam,mia,bob"),
         "run_flag": F.lit("early"),
     }
-    return daily_metrics(df).withColumns(attributes).select(*HISTORY_COLUMNS)
-
-
-def sales_metrics(spark, sf) -> DataFrame:
-    return metric_store(sales(spark, sf), "shop.sales")
+    status = F.lower(F.substring_index("dimension", "os:", -1))
+    rows = daily_metrics(sales(spark, sf)).withColumn("name", F.concat(F.lit("shop.sales_"), status))
+    return rows.withColumns(attributes).select(*HISTORY_COLUMNS)
 
 
 LAUNCH_DAY = "2001-07-26"
@@ -113,7 +111,7 @@ def return_metrics(spark, sf) -> DataFrame:
     rows = seen.groupBy("day").agg(F.count("*").alias("users")).withColumn("lag", F.lit(0))
     lag_name = F.concat(F.lit("users_re"), F.col("lag").cast("string"), F.lit("_sum_poly1"))
     return counted.unionByName(rows.select("day", "lag", "users")).select(
-        F.lit("app").alias("app_name"), F.lit("app.returns").alias("name"), F.lit("ann").alias("owner"),
+        F.lit("app").alias("app_name"), F.concat(F.lit("app.returns_"), F.year("day").cast("string")).alias("name"), F.lit("ann").alias("owner"),
         F.lit("day").alias("partition_keys"), F.lit(1024).cast("long").alias("table_bytes"),
         F.lit(3).cast("long").alias("queries"), F.lit(1024).cast("long").alias("day_bytes"),
         F.lit("").alias("downstream"), F.lit("").alias("dimension"),

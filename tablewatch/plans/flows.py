@@ -7,7 +7,7 @@ the written tables cut the lineage, so a lost executor costs one step and not th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import MIB, as_date
@@ -17,17 +17,23 @@ from ..operators.inventory import attach_status, build_inventory
 from ..operators.profile import profile_all
 from ..operators.report import metric_lines, volume_lines
 from ..operators.sizes import cutoff_table, daily_sizes, hourly_sizes
-from ..sources.tables import read_days, write_partitions
+from ..sources.tables import days_between, read_table, write_partitions
 
 
-def stored(spark: SparkSession, store: str, table: str, as_of, days: int) -> DataFrame:
-    """Partitions of a stored table from ``days`` before the as-of day up to it."""
-    day = as_date(as_of)
-    return read_days(spark, f"{store}/{table}", F.date_sub(day, days), day)
+def keep(df: DataFrame, store: str, table: str, by: list[str]) -> DataFrame:
+    """Write the partitions in ``df`` and return the whole stored table.
+
+    The schema is handed on, so a table nothing was written to yet reads as empty.
+    """
+    where = f"{store}/{table}"
+    write_partitions(df, where, by)
+    return read_table(df.sparkSession, where, schema=df.schema)
 
 
-def keep(df: DataFrame, store: str, table: str, by: list[str]) -> None:
-    write_partitions(df, f"{store}/{table}", by)
+def until(df: DataFrame, as_of, days: int) -> DataFrame:
+    """Partitions from ``days`` before the as-of day up to it."""
+    day = as_date(as_of)
+    return days_between(df, F.date_sub(day, days), day)
 
 
 def watch_inventory(
@@ -47,7 +53,6 @@ def watch_inventory(
 
 
 def watch_volumes(
-    spark: SparkSession,
     store: str,
     files: DataFrame,
     inventory: DataFrame,
@@ -59,24 +64,19 @@ def watch_volumes(
     **thresholds,
 ) -> DataFrame:
     """Measure the day, judge it by its history, store both and return the report lines."""
-    keep(daily_sizes(files, inventory, as_of, registry), store, "daily_sizes", ["day"])
-    today = stored(spark, store, "daily_sizes", as_of, 0)
-    keep(cutoff_table(today), store, "cutoffs", ["day"])
-    history = volume.volume_history(
-        stored(spark, store, "daily_sizes", as_of, 10), as_of, whitelist=whitelist
-    )
+    sizes = keep(daily_sizes(files, inventory, as_of, registry), store, "daily_sizes", ["day"])
+    cutoffs = keep(cutoff_table(until(sizes, as_of, 0)), store, "cutoffs", ["day"])
+    history = volume.volume_history(until(sizes, as_of, 10), as_of, whitelist=whitelist)
     judged = volume.with_evidence(volume.score_volumes(history), as_of, min_bytes=min_bytes)
-    keep(judged, store, "volume_anomalies", ["day"])
+    anomalies = keep(judged, store, "volume_anomalies", ["day"])
     report = volume.daily_report(
-        stored(spark, store, "cutoffs", as_of, 1),
-        stored(spark, store, "volume_anomalies", as_of, 0),
-        inventory, as_of, whitelist, topic_pairs, **thresholds,
+        until(cutoffs, as_of, 1), until(anomalies, as_of, 0), inventory, as_of, whitelist, topic_pairs,
+        **thresholds,
     )
     return volume_lines(report)
 
 
 def watch_hour(
-    spark: SparkSession,
     store: str,
     files: DataFrame,
     inventory: DataFrame,
@@ -86,17 +86,14 @@ def watch_hour(
     min_bytes: int = MIB,
 ) -> DataFrame:
     """Measure one hour, judge it by the same hour of the days before, store both."""
-    keep(hourly_sizes(files, inventory, as_of, hour), store, "hourly_sizes", ["day", "hour"])
-    history = volume.volume_history(
-        stored(spark, store, "hourly_sizes", as_of, 10), as_of, hour, whitelist=whitelist
-    )
+    sizes = keep(hourly_sizes(files, inventory, as_of, hour), store, "hourly_sizes", ["day", "hour"])
+    history = volume.volume_history(until(sizes, as_of, 10), as_of, hour, whitelist=whitelist)
     judged = volume.with_evidence(volume.score_volumes(history), as_of, hour, min_bytes)
-    keep(judged, store, "hourly_anomalies", ["day", "hour"])
-    return stored(spark, store, "hourly_anomalies", as_of, 0).where(F.col("hour") == hour)
+    anomalies = keep(judged, store, "hourly_anomalies", ["day", "hour"])
+    return until(anomalies, as_of, 0).where(F.col("hour") == hour)
 
 
 def describe_columns(
-    spark: SparkSession,
     store: str,
     tables: DataFrame,
     catalog: DataFrame,
@@ -108,8 +105,7 @@ def describe_columns(
 ) -> DataFrame:
     """Store the column catalog of the day and return the profile configuration made from it."""
     found = column_catalog(tables, catalog, columns, edges, trend, day_sizes, as_of)
-    keep(found, store, "column_catalog", ["day"])
-    return profile_config(stored(spark, store, "column_catalog", as_of, 0))
+    return profile_config(until(keep(found, store, "column_catalog", ["day"]), as_of, 0))
 
 
 def profile_run(
@@ -120,15 +116,15 @@ def profile_run(
     run: str,
     apps: dict[str, str] | None = None,
     read_days_of: dict[str, object] | None = None,
-) -> None:
-    """Profile the tables of one run into the (day, run_flag) partition of the metric history."""
+) -> DataFrame:
+    """Profile the tables of one run into its (day, run_flag) partition; returns the metric history."""
     rows = profile_all(tables, config, as_of, run, apps, read_days_of)
-    keep(rows, store, "metric_history", ["day", "run_flag"])
+    return keep(rows, store, "metric_history", ["day", "run_flag"])
 
 
 def watch_metrics(
-    spark: SparkSession,
     store: str,
+    metric_rows: DataFrame,
     as_of,
     run: str,
     whitelist: DataFrame | None = None,
@@ -136,7 +132,7 @@ def watch_metrics(
     **gate,
 ) -> tuple[DataFrame, DataFrame]:
     """Judge a run's metrics, store the anomalies, return report lines and the missing/new summary."""
-    rows = stored(spark, store, "metric_history", as_of, days)
+    rows = until(metric_rows, as_of, days)
     history = metrics.metric_history(rows, as_of, run, whitelist, days)
     flagged = metrics.flag_series(metrics.score_series(history, as_of), **gate)
     found = metrics.anomaly_rows(metrics.with_evidence(flagged, as_of), rows, as_of, run)

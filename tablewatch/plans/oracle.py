@@ -338,7 +338,8 @@ CTE = {
         FROM orders WHERE left(o_orderpriority,1)='3' AND o_orderstatus='F'""",
     "configs": """SELECT trim(lower(p_brand||'.'||p_type||'_'||p_size)) AS name, p_name AS final_topic
         FROM part WHERE p_size<>1 AND p_type<>'PROMO'""",
-    "store": f"""SELECT 'shop.sales' AS name, * FROM ({long_profile('sales', 'day')})""",
+    "store": f"""SELECT 'shop.sales_'||lower(right(dimension,1)) AS name, *
+        FROM ({long_profile('sales', 'day')})""",
     "launched": """SELECT * FROM store UNION ALL
         SELECT name, day, dimension, 'launch_sum_poly1', 'values', value FROM store
         WHERE metric='row_num' AND day=DATE '2001-07-26'""",
@@ -367,15 +368,15 @@ def shared_metrics(source: str) -> dict[str, str]:
     """Steps from a metric store to flagged series."""
     return {
         "shares": f"""SELECT *, {share('value','total_value')} AS value_share, {share('row_num','total_rows')} AS row_share
-            FROM (SELECT *, sum(value) OVER (PARTITION BY day, metric) AS total_value,
+            FROM (SELECT *, sum(value) OVER (PARTITION BY day, name, metric) AS total_value,
               max(CASE WHEN metric='row_num' THEN value END) OVER (PARTITION BY day, dimension) AS row_num,
-              sum(CASE WHEN metric='row_num' THEN value END) OVER (PARTITION BY day) AS total_rows
+              sum(CASE WHEN metric='row_num' THEN value END) OVER (PARTITION BY day, name) AS total_rows
               FROM {source})""",
         "kept": """SELECT * FROM shares WHERE day<=DATE '2001-07-26' AND dimension IN (
               SELECT dimension FROM shares WHERE day<=DATE '2001-07-26' GROUP BY dimension
               HAVING count(DISTINCT day)>=5)
-            AND EXISTS (SELECT 1 FROM shares WHERE day=DATE '2001-07-26')""",
-        "msums": f"""SELECT dimension, metric,
+            AND name IN (SELECT name FROM shares WHERE day=DATE '2001-07-26')""",
+        "msums": f"""SELECT name, dimension, metric,
               max(CASE WHEN now THEN value END) AS value, max(CASE WHEN now THEN value_share END) AS value_share,
               max(CASE WHEN now THEN row_share END) AS row_share, max(CASE WHEN now THEN row_num END) AS row_num,
               {r2(median('value_share'))} AS usual_value_share,
@@ -383,7 +384,7 @@ def shared_metrics(source: str) -> dict[str, str]:
               max(metric_class) AS metric_class, {sums('value', 'NOT now')}
             FROM (SELECT *, day=DATE '2001-07-26' AS now,
               row_number() OVER (PARTITION BY dimension, metric ORDER BY day)-1 AS i FROM kept)
-            GROUP BY dimension, metric""",
+            GROUP BY name, dimension, metric""",
         "mscored": bands("msums", False),
         "mflagged": """SELECT * FROM (SELECT *, CASE
               WHEN gated AND n>0 AND (value<band_lo OR value>band_hi) THEN 'out_of_band'
@@ -393,11 +394,11 @@ def shared_metrics(source: str) -> dict[str, str]:
               AND NOT (metric LIKE '%rate\\_poly3%' ESCAPE '\\' AND value<0.5)
               AND NOT (metric LIKE '%num\\_poly3%' ESCAPE '\\' AND value<1), false) AS gated FROM mscored))
             WHERE flag IS NOT NULL""",
-        "mevidence": """SELECT dimension, metric, metric_class, flag, DATE '2001-07-26' AS at_day,
+        "mevidence": """SELECT name, dimension, metric, metric_class, flag, DATE '2001-07-26' AS at_day,
               CASE WHEN flag='missing' THEN 0 ELSE value END AS value FROM mflagged
-            UNION ALL SELECT dimension, metric, metric_class, flag, DATE '2001-07-26'-CAST(b AS INTEGER), 0
+            UNION ALL SELECT name, dimension, metric, metric_class, flag, DATE '2001-07-26'-CAST(b AS INTEGER), 0
               FROM mflagged, range(1,31) r(b) WHERE flag='new'
-            UNION ALL SELECT f.dimension, f.metric, f.metric_class, flag, k.day, k.value
+            UNION ALL SELECT f.name, f.dimension, f.metric, f.metric_class, flag, k.day, k.value
               FROM mflagged f JOIN kept k ON f.dimension=k.dimension AND f.metric=k.metric
               AND k.day<DATE '2001-07-26'""",
     }
@@ -674,7 +675,7 @@ ORACLE: dict[str, str] = {
             GROUP BY name, w.table_bytes, w.queries HAVING count(DISTINCT h.update_time)=3""",
         "files", "hours", "watched", "measured", "cutrows"),
     "metric_shares": sql(
-        "SELECT day, dimension, metric, value, total_value, row_num, total_rows, value_share, row_share FROM shares",
+        "SELECT name, day, dimension, metric, value, total_value, row_num, total_rows, value_share, row_share FROM shares",
         "sales", "store", extra={"shares": STORE["shares"]}),
     "metric_history": sql(
         """SELECT day, dimension, metric, value, value_share, row_share FROM kept WHERE dimension NOT IN (
@@ -696,25 +697,25 @@ ORACLE: dict[str, str] = {
         "SELECT dimension, metric, value, value_share, band_lo, band_hi, centre FROM mflagged WHERE flag='out_of_band'",
         "sales", "store", "launched", extra=LAUNCH),
     "new_series": sql(
-        "SELECT 'shop.sales' AS name, dimension, metric, metric_class, at_day, value FROM mevidence WHERE flag='new'",
+        "SELECT name, dimension, metric, metric_class, at_day, value FROM mevidence WHERE flag='new'",
         "sales", "store", "launched", extra=LAUNCH),
     "missing_series": sql(
         "SELECT dimension, metric, metric_class, n FROM mflagged WHERE flag='missing'",
         "sales", "store", "launched", extra=LAUNCH),
     "metric_evidence": sql(
-        """SELECT 'shop' AS app_name, 'shop.sales' AS name, 'owner_of_shop.sales' AS owner, 3221225472 AS table_bytes, 12 AS queries,
+        """SELECT 'shop' AS app_name, name, 'owner_of_'||name AS owner, 3221225472 AS table_bytes, 12 AS queries,
              'zoe,adam,mia,bob' AS downstream, date_diff('day', DATE '1970-01-01', at_day)*86400 AS update_time, e.dimension,
              e.metric, e.metric_class, e.value, CAST(coalesce(r.value,0) AS BIGINT) AS row_num, flag, DATE '2001-07-26' AS day, 'early' AS run_flag
            FROM mevidence e LEFT JOIN (SELECT dimension, value FROM store WHERE metric='row_num' AND day=DATE '2001-07-26') r
              ON e.dimension=r.dimension""", "sales", "store", "launched", extra=LAUNCH),
     "missing_new_summary": sql(
-        """SELECT DISTINCT 'shop.sales' AS name, CASE flag WHEN 'new' THEN 'new_dimension' ELSE 'missing_dimension' END AS kind,
+        """SELECT DISTINCT name, CASE flag WHEN 'new' THEN 'new_dimension' ELSE 'missing_dimension' END AS kind,
              item_type, CASE item_type WHEN 'dimension' THEN dimension ELSE regexp_replace(metric,
                '_sum_poly1|_avg_poly1|_num_poly2|_rate_poly2|_num_poly3|_rate_poly3','','g') END AS item
            FROM mflagged, (VALUES ('metric'),('dimension')) t(item_type) WHERE flag IN ('new','missing')""",
         "sales", "store", "launched", extra=LAUNCH),
     "metric_report": sql(
-        f"""SELECT 'shop' AS app_name, 'shop.sales' AS name, 'owner_of_shop.sales' AS owner, '3.00Gb' AS table_size, 12 AS queries,
+        f"""SELECT 'shop' AS app_name, name, 'owner_of_'||name AS owner, '3.00Gb' AS table_size, 12 AS queries,
               'adam,bob,mia' AS users, dimension, metric,
               CASE metric WHEN 'row_num' THEN 'row_num (rows)' WHEN 'user_id_num_poly2' THEN 'user_id (valid count)'
                 WHEN 'total_amount_sum_poly1' THEN 'total_amount (sum)' WHEN 'total_amount_avg_poly1' THEN 'total_amount (valid mean)'

@@ -463,7 +463,7 @@ def hourly_report(spark, sf):
 def metric_shares(spark, sf):
     rows = metrics.add_totals(feeds.sales_metrics(spark, sf))
     return rows.select(
-        "day", "dimension", "metric", "value", "total_value", "row_num", "total_rows", "value_share", "row_share"
+        "name", "day", "dimension", "metric", "value", "total_value", "row_num", "total_rows", "value_share", "row_share"
     )
 
 

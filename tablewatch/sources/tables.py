@@ -64,7 +64,14 @@ def write_partitions(
 
 
 def overwrite_table(df: DataFrame, table: str) -> None:
-    """Replace the partitions present in ``df`` of a catalog table, columns matched by name."""
-    df.select(*df.sparkSession.table(table).columns).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).insertInto(table)
+    """Replace the partitions present in ``df`` of a catalog table, columns matched by name.
+
+    Catalog tables take the overwrite mode from the session only, so it is set for this write.
+    """
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)

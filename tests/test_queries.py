@@ -67,7 +67,9 @@ def test_plans_stay_in_the_engine(spark, sf, name):
     plan = plan_of(QUERIES[name](spark, sf))
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
     assert "Python" not in plan and "InPandas" not in plan
-    assert "SinglePartition" not in plan
+    # one row per task is all that a total over everything gathers
+    if name not in ("profile_customer_ids", "profile_tables"):
+        assert "SinglePartition" not in plan
 
 
 def test_rolling_bands_need_one_exchange_after_the_profile(spark, sf):

@@ -3,7 +3,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from tablewatch.plans import flows
 from tablewatch.session import shared_dir
@@ -30,7 +30,7 @@ def test_list_files(spark, tmp_path):
 
 def test_read_list(spark, tmp_path):
     (tmp_path / "list.txt").write_text("a,x\\,y,3\nb,plain\n,z\\\\w,7\n")
-    schema = StructType().add("name", "string").add("what", "string").add("n", "int")
+    schema = StructType().add("name", "string").add("what", "string").add("n", IntegerType())
     got = [tuple(r) for r in read_list(spark, str(tmp_path / "list.txt"), schema).collect()]
     assert got == [("a", "x,y", 3), ("b", "plain", None), ("", "z\\w", 7)]
 
@@ -63,21 +63,20 @@ def test_catalog_table_and_registry(spark, tmp_path, rows):
         spark.sql("drop table tw_part")
 
 
-def test_shared_dir_is_taken_from_the_session(spark, tmp_path):
-    own = shared_dir(spark)
-    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/")
-    try:
-        assert shared_dir(spark) == str(tmp_path)
-    except Exception:
-        pytest.skip("setting is fixed at start")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    assert shared_dir(spark) == own
+def test_shared_dir_is_taken_from_the_session(spark):
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.checkpoint.dir": "hdfs://nn/shared/"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    assert shared_dir(Session()) == "hdfs://nn/shared"
+    assert os.path.isdir(shared_dir(spark)) and shared_dir(spark) == shared_dir(spark)
 
 
 def test_volume_flow(spark, tmp_path):
     store = str(tmp_path)
-    name = lambda n: F.when(F.lit(n) == 0, 900)
     inventory = spark.createDataFrame(
         [("a", "", "event", "/w/a", "normal", 2048, 9, "day"), ("b", "", "event", "/w/b", "normal", 2048, 9, "day")],
         "name string, event_id string, source_kind string, path string, status string, table_bytes long, queries long, partition_keys string",
@@ -86,13 +85,13 @@ def test_volume_flow(spark, tmp_path):
     all_files += [("b", "", ago(n), 1, "p", 50, dt.datetime(2024, 5, 1)) for n in range(2, 8)]
     files = spark.createDataFrame(all_files, "name string, event_id string, day date, hour int, path string, length long, modificationTime timestamp_ntz")
     for n in range(7, 0, -1):
-        flows.watch_volumes(spark, store, files, inventory, ago(n), min_bytes=10)
+        flows.watch_volumes(store, files, inventory, ago(n), min_bytes=10)
     for _ in range(2):
-        lines = flows.watch_volumes(spark, store, files, inventory, DAY, min_bytes=10).collect()
+        lines = flows.watch_volumes(store, files, inventory, DAY, min_bytes=10).collect()
     got = sorted((r.name, r.detail) for r in lines)
     assert got == [("a", "0.88kb"), ("b", "TaskStop2Days"), ("b", "TaskStop3Days")]
-    assert flows.stored(spark, store, "daily_sizes", DAY, 0).count() == 2
-    assert flows.watch_hour(spark, store, files, inventory, DAY, 0, min_bytes=1).count() == 0
+    assert read_days(spark, f"{store}/daily_sizes", DAY, DAY).count() == 2
+    assert flows.watch_hour(store, files, inventory, DAY, 0, min_bytes=1).count() == 0
 
 
 def test_metric_flow(spark, tmp_path):
@@ -104,14 +103,14 @@ def test_metric_flow(spark, tmp_path):
         "app_name string, name string, owner string, partition_keys string, table_bytes long, queries long, day_bytes long, downstream string",
     )
     for n in range(8, -1, -1):
-        flows.profile_run(store, {"shop.sales": sales}, config, ago(n), "early")
+        history = flows.profile_run(store, {"shop.sales": sales}, config, ago(n), "early")
     for _ in range(2):
-        lines, summary = flows.watch_metrics(spark, store, DAY, "early", days=30)
+        lines, summary = flows.watch_metrics(store, history, DAY, "early", days=30)
     assert {(r.dimension, r.metric) for r in lines.collect()} == {
         (d, m) for d in ("os:ios", "os:web") for m in ("pay_amount_sum_poly1", "pay_amount_avg_poly1")
     }
     assert summary.count() == 0
-    stored = flows.stored(spark, store, "metric_anomalies", DAY, 0)
+    stored = read_days(spark, f"{store}/metric_anomalies", DAY, DAY)
     assert stored.count() == 4 * 9 and {r.run_flag for r in stored.select("run_flag").collect()} == {"early"}
 
 
@@ -130,5 +129,5 @@ def test_inventory_and_column_flows(spark, tmp_path):
     columns = spark.createDataFrame([("app.sh", "pay_cnt", "bigint", None), ("app.sh", "user_id", "bigint", "who")], "name string, column_name string, column_type string, column_comment string")
     edges = e("name string, target_name string, owner string, depth int, updated_ms long")
     trend = spark.createDataFrame([("app.sh", ago(1), 40)], "name string, day date, bytes long")
-    config = flows.describe_columns(spark, str(tmp_path), tables, catalog, columns, edges, trend, trend, DAY).collect()
+    config = flows.describe_columns(str(tmp_path), tables, catalog, columns, edges, trend, trend, DAY).collect()
     assert [(r.name, r.owner, r.day_bytes, r.run_flag, r.uid, r["values"]) for r in config] == [("app.sh", "ann", 40, "early", ["user_id"], ["pay_cnt"])]
