@@ -18,10 +18,10 @@ def within(df: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
     return df.join(other.select(*on).distinct(), on, "left_semi")
 
 
-def left_spread(
-    big: DataFrame, small: DataFrame, on: list[str], by: list[str], salts: int = SALTS
+def spread_join(
+    big: DataFrame, small: DataFrame, on: list[str], by: list[str], how: str = "left", salts: int = SALTS
 ) -> DataFrame:
-    """Left join where one key of ``big`` may hold a large part of its rows.
+    """Join where one key of ``big`` may hold a large part of its rows.
 
     ``small`` has one row per key. Its rows are repeated once per salt and the rows of ``big``
     spread over the salts by the hash of ``by`` (columns that vary inside a key), so a hot key is
@@ -29,4 +29,4 @@ def left_spread(
     """
     salt = F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int")
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return big.withColumn("_salt", salt).join(repeated, [*on, "_salt"], "left").drop("_salt")
+    return big.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")

@@ -23,7 +23,7 @@ from ..functions.rules import (
     retention_days,
 )
 from ..sources.tables import days_between
-from .joins import left_spread, within, without
+from .joins import spread_join, without
 
 GROUP = ["name", "dimension"]
 SERIES = ["name", "dimension", "metric"]
@@ -38,28 +38,38 @@ def share(value: str | Column, total: str | Column) -> Column:
     return F.coalesce(F.when(total != 0, part), F.lit(0.0))
 
 
-def metric_totals(rows: DataFrame) -> DataFrame:
+def metric_totals(rows: DataFrame, as_of=None, run: str | None = None) -> DataFrame:
     """Per day, table and metric: the sum over all dimensions, and the table's rows beside it.
 
-    The sums combine on the map side; the window over them is as long as a table has metrics.
+    With a run, only tables that have metrics of this run on the as-of day are kept. The sums combine
+    on the map side; a window over them is as long as a table has days and metrics.
     """
-    totals = rows.groupBy("day", "name", "metric").agg(F.sum("value").alias("total_value"))
+    here = F.lit(True) if run is None else (F.col("day") == as_date(as_of)) & (F.col("run_flag") == run)
+    totals = rows.groupBy("day", "name", "metric").agg(
+        F.sum("value").alias("total_value"), F.max(here).alias("_here")
+    )
     rows_now = F.when(F.col("metric") == "row_num", F.col("total_value"))
-    return totals.withColumn("total_rows", F.max(rows_now).over(Window.partitionBy("day", "name")))
-
-
-def tables_of_run(rows: DataFrame, as_of, run: str) -> DataFrame:
-    """Tables with metrics of this run on the day."""
-    return rows.where((F.col("day") == as_date(as_of)) & (F.col("run_flag") == run)).select("name").distinct()
+    return (
+        totals.repartition("name")
+        .withColumns(
+            {
+                "total_rows": F.max(rows_now).over(Window.partitionBy("name", "day")),
+                "_run": F.max("_here").over(Window.partitionBy("name")),
+            }
+        )
+        .where("_run")
+        .drop("_here", "_run")
+    )
 
 
-def add_totals(rows: DataFrame) -> DataFrame:
+def add_totals(rows: DataFrame, as_of=None, run: str | None = None) -> DataFrame:
     """Totals and row counts beside every metric value, with the shares they give.
 
-    One aggregate yields both totals; a table with most of the dimensions is a hot key of the join
-    back, so the rows are spread by dimension.
+    A table with most of the dimensions is a hot key of the join back, so the rows are spread by
+    dimension. Tables that are not in the run drop out here.
     """
-    totals = left_spread(rows, metric_totals(rows), ["day", "name", "metric"], ["dimension"])
+    keys = ["day", "name", "metric"]
+    totals = spread_join(rows, metric_totals(rows, as_of, run), keys, ["dimension"], "inner")
     in_group = Window.partitionBy(*GROUP, "day")
     row_num = F.max(F.when(F.col("metric") == "row_num", F.col("value"))).over(in_group)
     return (
@@ -109,15 +119,14 @@ def metric_history(
 ) -> DataFrame:
     """Metric rows of this run's tables in the window, with totals, shares and exclusions applied.
 
-    Totals count every dimension, excluded ones too. Besides the rows themselves only the as-of day
-    (for the tables of the run) and the four columns of the totals are read.
+    Totals count every dimension, excluded ones too; they also tell which tables are in the run, so
+    no further lookup is needed.
     """
     day = as_date(as_of)
     rows = days_between(metrics, F.date_sub(day, days), day)
-    rows = within(rows, tables_of_run(rows, as_of, run), ["name"])
     days_seen = F.max("_rank").over(Window.partitionBy(*GROUP))
     rows = (
-        add_totals(rows)
+        add_totals(rows, as_of, run)
         .withColumn("_rank", day_rank())
         .withColumns({"_thin": is_thin(max_rows, row_bytes), "_days": days_seen})
         .where(~F.col("_thin") & (F.col("_days") >= min_days))

@@ -116,10 +116,21 @@ def profile_run(
     run: str,
     apps: dict[str, str] | None = None,
     read_days_of: dict[str, object] | None = None,
+    group: int = 50,
 ) -> DataFrame:
-    """Profile the tables of one run into its (day, run_flag) partition; returns the metric history."""
-    rows = profile_all(tables, config, as_of, run, apps, read_days_of)
-    return keep(rows, store, "metric_history", ["day", "run_flag"])
+    """Profile the tables of one run into its (day, run_flag) partition; returns the metric history.
+
+    One job covers ``group`` tables, which bounds the plan however many tables there are. Parts are
+    stored first and then replace the run's partition together.
+    """
+    names = list(tables)
+    groups = [names[i : i + group] for i in range(0, len(names), group)]
+    for i, part in enumerate(groups):
+        chosen = {n: tables[n] for n in part}
+        rows = profile_all(chosen, config, as_of, run, apps, read_days_of).withColumn("part", F.lit(i))
+        parts = keep(rows, store, "metric_parts", ["day", "run_flag", "part"])
+    mine = until(parts, as_of, 0).where((F.col("run_flag") == run) & (F.col("part") < len(groups)))
+    return keep(mine.drop("part"), store, "metric_history", ["day", "run_flag"])
 
 
 def watch_metrics(

@@ -85,3 +85,19 @@ def test_scan_reads_only_what_is_asked(spark, sf):
 def test_as_of_day_reaches_the_scan(spark, sf):
     days = feeds.measured_days(spark, sf)
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan_of(days.where("day >= date'2024-01-20'"))
+
+
+@pytest.mark.parametrize("name", ["metric_evidence", "volume_evidence", "table_mentions", "daily_report"])
+def test_results_do_not_need_broadcasts(spark, sf, duck, name):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = QUERIES[name](spark, sf)
+        assert "BroadcastHashJoin" not in plan_of(df)
+        found = table([tuple(r) for r in df.collect()], df.columns)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    cursor = duck.execute(ORACLE[name])
+    assert found == table(cursor.fetchall(), [d[0] for d in cursor.description])

@@ -102,8 +102,12 @@ def test_metric_flow(spark, tmp_path):
         [("shop", "shop.sales", "ann", "day", 5000, 3, 100, "bob")],
         "app_name string, name string, owner string, partition_keys string, table_bytes long, queries long, day_bytes long, downstream string",
     )
+    quiet = sales.withColumn("pay_amount", F.lit(5).cast("bigint"))
+    config = config.unionByName(config.withColumn("name", F.lit("shop.quiet")))
     for n in range(8, -1, -1):
-        history = flows.profile_run(store, {"shop.sales": sales}, config, ago(n), "early")
+        tables = {"shop.sales": sales, "shop.quiet": quiet}
+        history = flows.profile_run(store, tables, config, ago(n), "early", group=1)
+    assert history.where(F.col("day") == DAY).groupBy("name").count().count() == 2
     for _ in range(2):
         lines, summary = flows.watch_metrics(store, history, DAY, "early", days=30)
     assert {(r.dimension, r.metric) for r in lines.collect()} == {
