@@ -20,6 +20,8 @@ def local_session(cores: int | str = "*", app: str = "tablewatch", partitions: i
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # building a plan calls into the JVM thousands of times; call sites would double that
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
