@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, DateType, NumericType, StringType
 from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
 
-from ..functions.names import _c
 from ..functions.rules import as_date
 from .columns import TableProfile, table_profile
 

@@ -9,7 +9,7 @@ from ..functions.bands import VOLUME, add_bands, centre, history_sums, rolling_s
 from ..functions.names import series_name
 from ..functions.rules import MIB, as_date, is_important, midnight
 from ..sources.tables import days_between
-from .joins import within, without
+from .joins import without
 
 KEYS = ["name", "event_id", "source_kind"]
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ..operators.profile import HISTORY_COLUMNS, profile_long
 from ..operators.columns import table_profile
-from ..sources.files import describe_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -144,7 +143,7 @@ def _event_files(spark, sf) -> DataFrame:
 
 
 def files(spark, sf) -> DataFrame:
-    """Finished files as :func:`describe_files` gives them, without their paths."""
+    """Finished files as a described listing gives them, without their paths."""
     return _event_files(spark, sf).where(~F.col("open")).drop("open", "part")
 
 

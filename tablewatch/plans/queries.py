@@ -16,7 +16,6 @@ from pyspark.sql.types import StructType
 from ..functions import names, rules, text
 from ..functions.bands import VOLUME, add_bands, rolling_sums
 from ..operators import columns, inventory, metrics, profile, report, sizes, usage, volume
-from ..operators.joins import without
 from ..session import shared_dir
 from ..sources.files import describe_files, list_files
 from ..sources.tables import days_between, read_days, read_list, write_partitions
