@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
+from tablewatch.llm.fingerprints import op10_order_minhash
+from tablewatch.llm.language import op7_language_bitmask_filters
+from tablewatch.llm.lines import OP5_SQL, op5_line_dedup
 from tablewatch.llm.minhash import op9_minhash_near_dedup
 from tablewatch.llm.packing import op1_best_fit_packing
+from tablewatch.llm.recompression import op8_recompression_substring_dedup
+from tablewatch.llm.topk import OP6_SQL, op6_pivot_top_k
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op9_minhash_near_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing,
+        op5_line_dedup,
+        op6_pivot_top_k,
+        op7_language_bitmask_filters,
+        op8_recompression_substring_dedup,
+        op9_minhash_near_dedup,
+        op10_order_minhash,
+    )
+}
 
 #: DuckDB SQL for those that SQL can express over whole tables.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op6_pivot_top_k": OP6_SQL}
