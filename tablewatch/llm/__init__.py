@@ -7,13 +7,19 @@ from tablewatch.llm.language import op7_language_bitmask_filters
 from tablewatch.llm.lines import OP5_SQL, op5_line_dedup
 from tablewatch.llm.minhash import op9_minhash_near_dedup
 from tablewatch.llm.packing import op1_best_fit_packing
+from tablewatch.llm.quality import op3_weak_label_quality
 from tablewatch.llm.recompression import op8_recompression_substring_dedup
+from tablewatch.llm.sampling import op2_gumbel_segmentations
 from tablewatch.llm.topk import OP6_SQL, op6_pivot_top_k
+from tablewatch.llm.toxicity import op4_subsequence_kernel_toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
         op1_best_fit_packing,
+        op2_gumbel_segmentations,
+        op3_weak_label_quality,
+        op4_subsequence_kernel_toxicity,
         op5_line_dedup,
         op6_pivot_top_k,
         op7_language_bitmask_filters,

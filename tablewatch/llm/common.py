@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablewatch.session import shared_dir
 
@@ -52,3 +53,30 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def sample_order(doc_id: str = "doc_id") -> Column:
     """A fixed pseudo-random order of documents, for bounded training samples."""
     return F.xxhash64(F.lit("sample"), F.col(doc_id))
+
+
+def extended(schema: StructType, more: str) -> StructType:
+    """The schema with further fields, given as DDL."""
+    return StructType([*schema.fields, *StructType.fromDDL(more).fields])
+
+
+def quoted(names: list[str]) -> list[Column]:
+    return [F.col(f"`{n}`") for n in names]
+
+
+def wrapped(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and the row without its text as one column, so that no name can clash with an operator's."""
+    rest = [n for n in docs.columns if n != "text"]
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*quoted(rest)).alias("row"))
+
+
+def unwrapped(rows: DataFrame, like: DataFrame, text: Column | None = None, cut: Column | None = None) -> DataFrame:
+    """The columns of ``like`` again, with another ``text``; where ``cut`` holds, ``n_chars`` is set to its length."""
+    text = F.col("text") if text is None else text
+    out = []
+    for field in like.schema.fields:
+        value = text if field.name == "text" else F.col("row")[field.name]
+        if field.name == "n_chars" and cut is not None:
+            value = F.when(cut, F.length(text).cast(field.dataType)).otherwise(value)
+        out.append(value.alias(field.name))
+    return rows.select(*out)

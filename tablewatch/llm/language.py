@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablewatch.llm.common import held_out, sample_order, table
+from tablewatch.llm.common import extended, held_out, sample_order, table, unwrapped, wrapped
 from tablewatch.llm.words import mix
 
 #: Bound of the training sample: so many documents of each language, whole texts.
@@ -120,7 +120,6 @@ def identify(docs: DataFrame, model: Filter) -> DataFrame:
     docs = docs.drop("lang_pred", "score")
     names = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of a size fixed by its parameters
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = shared.value
@@ -129,14 +128,13 @@ def identify(docs: DataFrame, model: Filter) -> DataFrame:
             out = [*batch.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(out, names=[*names, "lang_pred", "score"])
 
-    return docs.mapInArrow(predict, f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(predict, extended(docs.schema, "lang_pred string, score double"))
 
 
 def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents in a learned language: rejected are those that are undetermined, or whose trigrams are mostly in none."""
-    names = docs.columns
-    known = identify(docs, learn(docs))
-    return known.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(*names)
+    known = identify(wrapped(docs), learn(docs))
+    return unwrapped(known.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)), docs)
 
 
 def op7_language_bitmask_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablewatch.llm.common import KEY, stored, table, text_key
+from tablewatch.llm.common import KEY, stored, table, text_key, unwrapped, wrapped
 
 LEAST_LINES = 3
 #: Ranks are counted in so many ranges of the sorted keys, then across them.
@@ -117,12 +117,8 @@ def without_repeated_lines(docs: DataFrame, least: int = LEAST_LINES) -> DataFra
 
     ``n_chars``, where present, is set to the new length of a text that was cut.
     """
-    rows = cut_lines(docs, least).where("n_removed = 0 or kept_text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
-    columns = {"text": F.col("kept_text")}
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        columns["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text").cast(kind)).otherwise(F.col("n_chars"))
-    return rows.withColumns(columns).select(*docs.columns)
+    rows = cut_lines(wrapped(docs), least).where((F.col("n_removed") == 0) | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
+    return unwrapped(rows, docs, F.col("kept_text"), F.col("n_removed") > 0)
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +134,8 @@ WITH lines AS (
   FROM documents),
 filled AS (
   SELECT doc_id, p, line, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS i
-  FROM lines WHERE regexp_matches(line, '[^ 	-]')),
+  FROM lines WHERE regexp_matches(line, '[^ 	-
+]')),
 runs AS (
   SELECT doc_id, i, line AS l0, lead(line, 1) OVER d AS l1, lead(line, 2) OVER d AS l2
   FROM filled WINDOW d AS (PARTITION BY doc_id ORDER BY i)),

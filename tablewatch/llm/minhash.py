@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tablewatch.llm.common import KEY, stored, table, text_key
+from tablewatch.llm.common import KEY, stored, table, text_key, unwrapped, wrapped
 from tablewatch.llm.graph import components
 from tablewatch.llm.words import mix, raw_words, shingles, word_ids
 
@@ -158,12 +159,10 @@ def keep_first(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     lone = found.where("node is null")
     one = found.where("node is not null").dropDuplicates(["component_id"])
     keep = lone.select(*KEY).unionAll(one.select(*KEY)).distinct()
-    names = docs.columns
-    keyed = docs.withColumns({f"{c}_row": col for c, col in zip(KEY, text_key())})
     # several rows of one id and text are one document
-    single = keyed.dropDuplicates([f"{c}_row" for c in KEY])
-    on = [single[f"{c}_row"] == keep[c] for c in KEY]
-    return single.join(keep, on, "left_semi").select(*names)
+    single = wrapped(docs).withColumns(dict(zip(KEY, text_key()))).join(keep, KEY)
+    copies = single.withColumn("copy", F.row_number().over(Window.partitionBy(*KEY).orderBy(F.xxhash64("row"))))
+    return unwrapped(copies.where("copy = 1"), docs)
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewatch.llm.common import stored, table
+from tablewatch.llm.common import extended, stored, table
 
 CAPACITY = 2048
 VOCABULARY = "byte_bpe_50k.json"
@@ -186,7 +186,6 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """
     items = items.drop("sequence_id", "offset", "_part", "_rank")
     names = items.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema)
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
@@ -203,7 +202,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     tie = F.xxhash64(*(c for c in names if c != "length")) if len(names) > 1 else F.lit(0)
     in_order = items.withColumn("_tie", tie).repartitionByRange(F.desc("length"), "_tie").sortWithinPartitions(F.desc("length"), "_tie")
-    rows = stored(in_order.drop("_tie").mapInArrow(ranked, f"{schema}, _part int, _rank long"), "ranked")
+    rows = stored(in_order.drop("_tie").mapInArrow(ranked, extended(items.schema, "_part int, _rank long")), "ranked")
     # at most one row for each length and one more for each partition
     counts = rows.groupBy("length", "_part").count().orderBy("length", "_part").collect()
     first_rank, histogram = {}, defaultdict(int)
@@ -233,7 +232,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 offset[lo:hi] = offsets[at] + r % each[at] * n
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
-    return rows.mapInArrow(placed, f"{schema}, sequence_id long, offset long")
+    return rows.mapInArrow(placed, extended(items.schema, "sequence_id long, offset long"))
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:

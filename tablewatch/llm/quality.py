@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewatch.llm.common import sample_order, table
+from tablewatch.llm.common import extended, sample_order, table
 from tablewatch.llm.words import word_ids
 
 #: Bound of the training sample of the scorer, whole texts.
@@ -142,7 +142,6 @@ def voted(docs: DataFrame) -> DataFrame:
     """Adds ``votes``, the votes as digits of one number to base three, in the order of ``HEURISTICS``."""
     docs = docs.drop("votes")
     names = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     place = 3 ** np.arange(len(HEURISTICS))
 
     def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +149,7 @@ def voted(docs: DataFrame) -> DataFrame:
             codes = [int(np.dot(votes(t.as_py()), place)) for t in batch.column(names.index("text"))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.int64())], names=[*names, "votes"])
 
-    return docs.mapInArrow(cast, f"{schema}, votes long")
+    return docs.mapInArrow(cast, extended(docs.schema, "votes long"))
 
 
 def _digits(codes: np.ndarray) -> np.ndarray:
@@ -191,7 +190,6 @@ def judge(docs: DataFrame, model: Model) -> DataFrame:
     docs = docs.drop("weak_label", "score", "predicted")
     names = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of a fixed size
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -206,7 +204,7 @@ def judge(docs: DataFrame, model: Model) -> DataFrame:
             out = [*batch.columns, pa.array(weak, pa.float64()), pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(out, names=[*names, "weak_label", "score", "predicted"])
 
-    return docs.mapInArrow(rate, f"{schema}, weak_label double, score double, predicted int")
+    return docs.mapInArrow(rate, extended(docs.schema, "weak_label double, score double, predicted int"))
 
 
 def op3_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

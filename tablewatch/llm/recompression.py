@@ -10,6 +10,7 @@ rules out all windows around its span, and the windows that no such symbol rules
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewatch.llm.common import KEY, stored, table, text_key
+from tablewatch.llm.common import KEY, extended, stored, table, text_key, unwrapped, wrapped
 from tablewatch.llm.words import mix, raw_words, word_ids
 
 WINDOW = 35
@@ -201,9 +202,6 @@ def without_repeats(docs: DataFrame, window: int = 50, rounds: int = ROUNDS) ->
 
     All columns are kept. ``n_chars``, where present, is set to the new length of a text that was cut.
     """
-    import re
-
-    names = docs.columns
     word = re.compile(rb"[^\x20\x09-\x0D]+")
 
     def cut(texts: pa.Array, starts: pa.Array) -> list[str | None]:
@@ -225,17 +223,14 @@ def without_repeats(docs: DataFrame, window: int = 50, rounds: int = ROUNDS) ->
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = names.index("text")
-            texts = pa.array(cut(batch.column(at), batch.column(len(names))), pa.string())
-            columns = [texts if i == at else batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*columns, batch.column(len(names)).is_valid()], names=[*names, "_cut"])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    rows = _with_starts(docs, window, rounds).select(*names, "starts").mapInArrow(rewrite, f"{schema}, _cut boolean")
-    if "n_chars" in names:
-        kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(F.col("_cut"), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return rows.where(~F.col("_cut") | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*names)
+            texts = pa.array(cut(batch.column(0), batch.column(2)), pa.string())
+            yield pa.RecordBatch.from_arrays([texts, batch.column(1), batch.column(2).is_valid()], names=["text", "row", "cut"])
+
+    rows = _with_starts(wrapped(docs), window, rounds).select("text", "row", "starts")
+    made = extended(rows.select("text", "row").schema, "cut boolean")
+    rows = rows.mapInArrow(rewrite, made)
+    rows = rows.where(~F.col("cut") | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return unwrapped(rows, docs, cut=F.col("cut"))
 
 
 def op8_recompression_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

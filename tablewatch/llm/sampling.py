@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewatch.llm.common import table
+from tablewatch.llm.common import extended, table
 
 VOCABULARY = "piece_bpe_32k.model"
 SAMPLES = 3
@@ -209,7 +209,6 @@ def encode_samples(rows: DataFrame, seed: Column, k: int = SAMPLES, path: str |
     In a text that holds the mark of the vocabulary itself, it comes back as a space. Other columns are kept.
     """
     names = rows.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     made = "sample int, ids array<int>, log_prob double, inclusion double, decoded string"
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +227,7 @@ def encode_samples(rows: DataFrame, seed: Column, k: int = SAMPLES, path: str |
                 cols = [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, types)]
                 yield pa.RecordBatch.from_arrays([*kept, *cols], names=[*names, "sample", "ids", "log_prob", "inclusion", "decoded"])
 
-    return rows.withColumn("_seed", seed).mapInArrow(draw, f"{schema}, {made}")
+    return rows.withColumn("_seed", seed).mapInArrow(draw, extended(rows.schema, made))
 
 
 def op2_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:

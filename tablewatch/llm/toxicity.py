@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablewatch.llm.common import held_out, sample_order, table
+from tablewatch.llm.common import extended, held_out, sample_order, table
 from tablewatch.llm.words import mix
 
 #: Bounds of the training sample: so many documents of each label, whole texts.
@@ -251,7 +251,6 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     docs = docs.drop("score", "predicted")
     names = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(machine)  # of a fixed size
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = shared.value
@@ -262,7 +261,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
                 out = [*batch.columns, pa.array(found, pa.float64()), pa.array((found >= 0.5).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(out, names=[*names, "score", "predicted"])
 
-    return docs.mapInArrow(judge, f"{schema}, score double, predicted int")
+    return docs.mapInArrow(judge, extended(docs.schema, "score double, predicted int"))
 
 
 def op4_subsequence_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
