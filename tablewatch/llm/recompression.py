@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewatch.llm.common import KEY, extended, stored, table, text_key, unwrapped, wrapped
+from tablewatch.llm.common import NO_ID, extended, stored, table, unwrapped, wrapped
 from tablewatch.llm.words import mix, raw_words, word_ids
 
 WINDOW = 35
@@ -26,8 +26,9 @@ WINDOW = 35
 #: depends on often no longer fit in a window.
 ROUNDS = 4
 #: Symbols of fewer words are too common to rule anything out.
-LEAST_WORDS = 3
-_KEYS = "_id long, _t1 long, _t2 long"
+LEAST_WORDS = 4
+#: Key of a document in the shuffles: its id and 32 bits of its text's hash, which tell documents of one id apart.
+KEY = ["_id", "_t"]
 
 
 def _merged(level: tuple, low: np.ndarray, high: np.ndarray, joined: np.ndarray, seed: int) -> tuple:
@@ -79,7 +80,7 @@ def symbols(ids: np.ndarray, window: int, rounds: int) -> tuple[np.ndarray, np.n
     n = len(ids)
     if n < window:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    at = np.arange(n)
+    at = np.arange(n, dtype=np.int32)
     level = (ids, at, at, at, at)
     for r in range(rounds):
         level = _runs(level, ids, 2 * r + 1)
@@ -89,112 +90,143 @@ def symbols(ids: np.ndarray, window: int, rounds: int) -> tuple[np.ndarray, np.n
     return names[keep], low[keep], high[keep]
 
 
+def _text_key() -> list:
+    return [
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"),
+        F.hash(F.coalesce(F.col("text"), F.lit(""))).alias("_t"),
+    ]
+
+
 def _symbol_rows(keyed: DataFrame, window: int, rounds: int) -> DataFrame:
+    """Key, name and dependence (its ends in one number) of every counted symbol."""
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts, rows = [], []
-            for i, text in enumerate(batch.column(3)):
+            for i, text in enumerate(batch.column(2)):
                 names, low, high = symbols(word_ids(raw_words(text.as_py(), False)), window, rounds)
                 if len(names):
-                    parts.append((names.view(np.int64), low, high))
+                    parts.append((names.view(np.int64), low.astype(np.int64) << 32 | high))
                     rows.append(np.full(len(names), i))
             if parts:
                 at = pa.array(np.concatenate(rows))
-                names, low, high = (np.concatenate(x) for x in zip(*parts))
-                keys = [batch.column(j).take(at) for j in range(3)]
-                yield pa.RecordBatch.from_arrays([*keys, pa.array(names), pa.array(low, pa.int32()), pa.array(high, pa.int32())], names=[*KEY, "name", "low", "high"])
+                names, spans = (np.concatenate(x) for x in zip(*parts))
+                yield pa.RecordBatch.from_arrays([*(batch.column(j).take(at) for j in range(2)), pa.array(names), pa.array(spans)], names=[*KEY, "name", "span"])
 
-    return keyed.select(*KEY, "text").mapInArrow(read, f"{_KEYS}, name long, low int, high int")
+    return keyed.select(*KEY, "text").mapInArrow(read, "_id long, _t int, name long, span long")
 
 
 def _window_names(ids: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit names of the windows that start at ``at``."""
+    """A 64-bit and a 32-bit name of the windows that start at ``at``."""
     one, two = np.full(len(at), window, np.uint64), np.full(len(at), ~np.uint64(window), np.uint64)
     other = mix(ids ^ np.uint64(0xA5A5A5A55A5A5A5A))
     for i in range(window):
         one = mix(one + ids[at + i])
         two = mix(two ^ other[at + i])
-    return one, two
+    return one.view(np.int64), (two >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def _open_starts(words: int, spans: pa.Scalar, window: int) -> np.ndarray:
+    """Starts of windows that no symbol seen once rules out: it rules out those that hold its whole span."""
+    n = words - window + 1
+    if n < 1:
+        return np.empty(0, np.int64)
+    steps = np.zeros(n + 1, np.int64)
+    if spans.is_valid:
+        span = np.asarray(spans.values)
+        np.add.at(steps, np.clip((span & 0xFFFFFFFF) - window + 1, 0, n), 1)
+        np.add.at(steps, np.clip((span >> 32) + 1, 0, n), -1)
+    return np.flatnonzero(np.cumsum(steps[:n]) == 0)
+
 
+def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    offsets = pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32())
+    flat = np.concatenate(arrays) if arrays else np.empty(0)
+    return pa.ListArray.from_arrays(offsets, pa.array(flat.astype(kind.to_pandas_dtype())), type=pa.list_(kind))
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
-    """Key and start of every window of ``window`` words whose words also start elsewhere in the documents.
 
-    Words lie between ASCII white space, unchanged. A repeated row is a copy like any other.
+def _with_windows(docs: DataFrame, window: int, rounds: int, closed=None) -> tuple[DataFrame, DataFrame]:
+    """The documents without and with windows that may be repeated; the latter with the ``starts`` of those that are.
+
+    ``docs`` has doc_id, text and further columns. Words lie between ASCII white space, unchanged; a repeated row is a
+    copy like any other. ``closed`` may make a column ``done`` of a text without such windows, which then travels
+    no further.
     """
-    keyed = docs.select(*text_key(), "text")
+    keyed = docs.select(*_text_key(), "*")
     rows = _symbol_rows(keyed, window, rounds)
-    once = rows.groupBy("name").agg(F.count("*").alias("times"), *(F.min(c).alias(c) for c in (*KEY, "low", "high"))).where("times = 1")
-    ruled = once.groupBy(*KEY).agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
+    once = rows.groupBy("name").agg(F.count("*").alias("times"), *(F.min(c).alias(c) for c in (*KEY, "span"))).where("times = 1")
+    ruled = once.groupBy(*KEY).agg(F.collect_list("span").alias("spans"))
+    names = [*KEY, *docs.columns]
+    text_at = names.index("text")
 
     def open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts, rows = [], []
-            for i, (text, lows, highs) in enumerate(zip(*(batch.column(j) for j in (3, 4, 5)))):
+            starts, ones, twos, texts, done = [], [], [], [], []
+            for text, spans in zip(batch.column(text_at), batch.column(len(names))):
                 words = raw_words(text.as_py(), False)
-                n = len(words) - window + 1
-                if n < 1:
-                    continue
-                # a symbol seen once rules out the starts from its high end minus the window to its low end
-                steps = np.zeros(n + 1, np.int64)
-                if lows.is_valid:
-                    low, high = np.asarray(lows.values), np.asarray(highs.values)
-                    np.add.at(steps, np.clip(high - window + 1, 0, n), 1)
-                    np.add.at(steps, np.clip(low + 1, 0, n), -1)
-                at = np.flatnonzero(np.cumsum(steps[:n]) == 0)
-                if len(at):
-                    one, two = _window_names(word_ids(words), at, window)
-                    parts.append((at, one.view(np.int64), two.view(np.int64)))
-                    rows.append(np.full(len(at), i))
-            if parts:
-                of = pa.array(np.concatenate(rows))
-                at, one, two = (np.concatenate(x) for x in zip(*parts))
-                yield pa.RecordBatch.from_arrays([*(batch.column(j).take(of) for j in range(3)), pa.array(at, pa.int32()), pa.array(one), pa.array(two)], names=[*KEY, "start", "w1", "w2"])
-
-    joined = keyed.join(ruled, KEY, "left").select(*KEY, "text", "lows", "highs")
-    candidates = stored(joined.mapInArrow(open_windows, f"{_KEYS}, start int, w1 long, w2 long"), "windows")
-    lone = candidates.groupBy("w1", "w2").agg(F.count("*").alias("times"), *(F.min(c).alias(c) for c in (*KEY, "start"))).where("times = 1")
-    return candidates.join(lone.select(*KEY, "start"), [*KEY, "start"], "left_anti")
-
-
-def _cover(starts: pa.Scalar, n: int, window: int) -> np.ndarray:
-    """Which of ``n`` words lie in a window that starts in the list."""
+                at = _open_starts(len(words), spans, window)
+                one, two = _window_names(word_ids(words), at, window) if len(at) else (at, at)
+                starts.append(at)
+                ones.append(one)
+                twos.append(two)
+                over = closed is not None and not len(at)
+                texts.append(None if over else text.as_py())
+                done.append(closed(words) if over else None)
+            columns = [pa.array(texts, pa.string()) if i == text_at else batch.column(i) for i in range(len(names))]
+            lists = [_lists(starts, pa.int32()), _lists(ones, pa.int64()), _lists(twos, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(done, pa.string()), *lists], names=[*names, "done", "starts", "w1", "w2"])
+
+    joined = keyed.join(ruled, KEY, "left").select(*names, "spans")
+    made = extended(keyed.select(*names).schema, "done string, starts array<int>, w1 array<long>, w2 array<int>")
+    found = stored(joined.mapInArrow(open_windows, made), "windows")
+    some = F.size("starts") > 0
+    windows = found.where(some).select(*KEY, F.explode(F.arrays_zip("starts", "w1", "w2")).alias("w"))
+    windows = windows.select(*KEY, F.col("w.starts").alias("start"), "w.w1", "w.w2")
+    lone = windows.groupBy("w1", "w2").agg(F.count("*").alias("times"), *(F.min(c).alias(c) for c in (*KEY, "start"))).where("times = 1")
+    lone = lone.groupBy(*KEY).agg(F.collect_list("start").alias("lone"))
+    return found.where(~some).drop("starts", "w1", "w2"), found.where(some).drop("w1", "w2").join(lone, KEY, "left")
+
+
+def _cover(starts: pa.Scalar, lone: pa.Scalar, n: int, window: int) -> np.ndarray:
+    """Which of ``n`` words lie in a window that starts in the one list and not in the other."""
+    at = np.asarray(starts.values)
+    if lone.is_valid:
+        at = np.setdiff1d(at, np.asarray(lone.values), assume_unique=True)
     steps = np.zeros(n + 1, np.int64)
-    if starts.is_valid:
-        at = np.asarray(starts.values)
-        np.add.at(steps, at, 1)
-        np.add.at(steps, at + window, -1)
+    np.add.at(steps, at, 1)
+    np.add.at(steps, at + window, -1)
     return np.cumsum(steps[:n]) > 0
 
 
-def _with_starts(docs: DataFrame, window: int, rounds: int) -> DataFrame:
-    found = repeated_windows(docs, window, rounds).groupBy(*KEY).agg(F.collect_list("start").alias("starts"))
-    keyed = docs.withColumns(dict(zip(KEY, text_key())))
-    return keyed.join(found, KEY, "left")
+def _digest(kept: list[bytes]) -> str:
+    return hashlib.sha256(b" ".join(kept)).hexdigest()
 
 
 def repeat_digest(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed`` and the SHA-256 of the kept words, joined by one space, per document.
 
-    A word is removed where it is covered by a repeated window, as judged on the input. A null or empty text has no
-    words and the checksum of the empty string; texts shorter than a window keep all words.
+    A word is removed where it is covered by a window whose words also start elsewhere, as judged on the input. A null
+    or empty text has no words and the checksum of the empty string; texts shorter than a window keep all words.
     """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total, removed, sums = [], [], []
-            for text, starts in zip(batch.column(1), batch.column(2)):
+            for text, starts, lone in zip(*(batch.column(j) for j in (1, 2, 3))):
                 words = raw_words(text.as_py(), False)
-                gone = _cover(starts, len(words), window)
+                gone = _cover(starts, lone, len(words), window)
                 total.append(len(words))
                 removed.append(int(gone.sum()))
-                kept = words if not removed[-1] else [w for w, g in zip(words, gone.tolist()) if not g]
-                sums.append(hashlib.sha256(b" ".join(kept)).hexdigest())
+                sums.append(_digest([w for w, g in zip(words, gone.tolist()) if not g]))
             out = [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(sums, pa.string())]
             yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    rows = _with_starts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), window, rounds)
-    return rows.select("doc_id", "text", "starts").mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    closed, open_ = _with_windows(whole, window, rounds, lambda words: f"{len(words)} {_digest(words)}")
+    n_words, kept = (F.substring_index("done", " ", i) for i in (1, -1))
+    done = closed.select("doc_id", n_words.cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), kept.alias("kept_sha256"))
+    rest = open_.select("doc_id", "text", "starts", "lone").mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return done.unionByName(rest)
 
 
 def without_repeats(docs: DataFrame, window: int = 50, rounds: int = ROUNDS) -> DataFrame:
@@ -204,31 +236,26 @@ def without_repeats(docs: DataFrame, window: int = 50, rounds: int = ROUNDS) ->
     """
     word = re.compile(rb"[^\x20\x09-\x0D]+")
 
-    def cut(texts: pa.Array, starts: pa.Array) -> list[str | None]:
-        out = []
-        for text, at in zip(texts, starts):
-            if not at.is_valid:
-                out.append(text.as_py())
-                continue
-            raw = text.as_py().encode("utf-8", "surrogatepass")
-            spans = [m.span() for m in word.finditer(raw)]
-            gone = _cover(at, len(spans), window)
-            edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
-            kept, done = [], 0
-            for lo, hi in zip(edges[::2], edges[1::2]):
-                kept.append(raw[done : spans[lo][0]])
-                done = spans[hi - 1][1]
-            out.append(b"".join([*kept, raw[done:]]).decode("utf-8", "surrogatepass"))
-        return out
+    def cut(text: str, starts: pa.Scalar, lone: pa.Scalar) -> tuple[str, bool]:
+        raw = text.encode("utf-8", "surrogatepass")
+        spans = [m.span() for m in word.finditer(raw)]
+        gone = _cover(starts, lone, len(spans), window)
+        edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
+        kept, at = [], 0
+        for lo, hi in zip(edges[::2], edges[1::2]):
+            kept.append(raw[at : spans[lo][0]])
+            at = spans[hi - 1][1]
+        return b"".join([*kept, raw[at:]]).decode("utf-8", "surrogatepass"), bool(len(edges))
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.array(cut(batch.column(0), batch.column(2)), pa.string())
-            yield pa.RecordBatch.from_arrays([texts, batch.column(1), batch.column(2).is_valid()], names=["text", "row", "cut"])
+            made = [cut(t.as_py(), s, x) for t, s, x in zip(*(batch.column(j) for j in (0, 2, 3)))]
+            yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.string()), batch.column(1), pa.array([m[1] for m in made], pa.bool_())], names=["text", "row", "cut"])
 
-    rows = _with_starts(wrapped(docs), window, rounds).select("text", "row", "starts")
-    made = extended(rows.select("text", "row").schema, "cut boolean")
-    rows = rows.mapInArrow(rewrite, made)
+    closed, open_ = _with_windows(wrapped(docs), window, rounds)
+    rows = open_.select("text", "row", "starts", "lone")
+    rows = rows.mapInArrow(rewrite, extended(rows.select("text", "row").schema, "cut boolean"))
+    rows = rows.unionByName(closed.select("text", "row", F.lit(False).alias("cut")))
     rows = rows.where(~F.col("cut") | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return unwrapped(rows, docs, cut=F.col("cut"))
 
