@@ -20,13 +20,14 @@ from ..operators.sizes import cutoff_table, daily_sizes, hourly_sizes
 from ..sources.tables import days_between, read_table, write_partitions
 
 
-def keep(df: DataFrame, store: str, table: str, by: list[str]) -> DataFrame:
+def keep(df: DataFrame, store: str, table: str, by: list[str], **own) -> DataFrame:
     """Write the partitions in ``df`` and return the whole stored table.
 
+    ``own`` is the run's partition, which is replaced even where ``df`` has no row of it.
     The schema is handed on, so a table nothing was written to yet reads as empty.
     """
     where = f"{store}/{table}"
-    write_partitions(df, where, by)
+    write_partitions(df, where, by, own=own)
     return read_table(df.sparkSession, where, schema=df.schema)
 
 
@@ -65,10 +66,10 @@ def watch_volumes(
 ) -> DataFrame:
     """Measure the day, judge it by its history, store both and return the report lines."""
     sizes = keep(daily_sizes(files, inventory, as_of, registry), store, "daily_sizes", ["day"])
-    cutoffs = keep(cutoff_table(until(sizes, as_of, 0)), store, "cutoffs", ["day"])
+    cutoffs = keep(cutoff_table(until(sizes, as_of, 0)), store, "cutoffs", ["day"], day=as_of)
     history = volume.volume_history(until(sizes, as_of, 10), as_of, whitelist=whitelist)
     judged = volume.with_evidence(volume.score_volumes(history), as_of, min_bytes=min_bytes)
-    anomalies = keep(judged, store, "volume_anomalies", ["day"])
+    anomalies = keep(judged, store, "volume_anomalies", ["day"], day=as_of)
     report = volume.daily_report(
         until(cutoffs, as_of, 1), until(anomalies, as_of, 0), inventory, as_of, whitelist, topic_pairs,
         **thresholds,
@@ -124,13 +125,15 @@ def profile_run(
     stored first and then replace the run's partition together.
     """
     names = list(tables)
+    if not names:
+        raise ValueError(f"no tables to profile in run {run!r}")
     groups = [names[i : i + group] for i in range(0, len(names), group)]
     for i, part in enumerate(groups):
         chosen = {n: tables[n] for n in part}
         rows = profile_all(chosen, config, as_of, run, apps, read_days_of).withColumn("part", F.lit(i))
         parts = keep(rows, store, "metric_parts", ["day", "run_flag", "part"])
     mine = until(parts, as_of, 0).where((F.col("run_flag") == run) & (F.col("part") < len(groups)))
-    return keep(mine.drop("part"), store, "metric_history", ["day", "run_flag"])
+    return keep(mine.drop("part"), store, "metric_history", ["day", "run_flag"], day=as_of, run_flag=run)
 
 
 def watch_metrics(
@@ -147,6 +150,6 @@ def watch_metrics(
     history = metrics.metric_history(rows, as_of, run, whitelist, days)
     flagged = metrics.flag_series(metrics.score_series(history, as_of), **gate)
     found = metrics.anomaly_rows(metrics.with_evidence(flagged, as_of), rows, as_of, run)
-    keep(found, store, "metric_anomalies", ["day", "run_flag"])
+    keep(found, store, "metric_anomalies", ["day", "run_flag"], day=as_of, run_flag=run)
     off = metrics.metric_anomalies(flagged).join(metrics.table_attributes(rows, as_of), "name", "left")
     return metric_lines(off), metrics.missing_new_summary(flagged)

@@ -29,12 +29,15 @@ def local_session(cores: int | str = "*", app: str = "tablewatch", partitions: i
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a fresh temporary folder is used.
+    Only where the session names none and runs on one machine (tests) a fresh temporary folder is
+    used; on a cluster that would be another folder on every machine, so it is an error there.
     """
     global _own_dir
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="tablewatch-")
     return _own_dir

@@ -45,13 +45,25 @@ def read_list(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def write_partitions(
-    df: DataFrame, path: str, by: list[str], fmt: str = "orc", compression: str = "snappy"
+    df: DataFrame,
+    path: str,
+    by: list[str],
+    fmt: str = "orc",
+    compression: str = "snappy",
+    own: dict[str, object] | None = None,
 ) -> None:
     """Replace exactly the partitions present in ``df``; a rerun replaces its own output.
 
+    ``own`` names the partition of the run by its leading columns: it is emptied first, so that a
+    rerun without rows leaves none behind. ``df`` must not read that partition.
+
     The rebalance hint lets adaptive execution merge small and split large partitions, so one
     hot day neither lands in one task nor leaves thousands of tiny files.
     """
+    if own:
+        mine = "/".join([path.rstrip("/"), *(f"{c}={own[c]}" for c in by if c in own)])
+        none = df.sparkSession.createDataFrame([], df.drop(*by).schema)
+        none.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt).save(mine)
     (
         df.hint("rebalance", *[F.col(c) for c in by])
         .write.mode("overwrite")

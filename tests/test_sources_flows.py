@@ -47,6 +47,17 @@ def test_partition_overwrite_is_idempotent(spark, tmp_path, rows):
     assert "PartitionFilters: [isnotnull(day" in plan
 
 
+def test_empty_rerun_leaves_nothing_behind(spark, tmp_path, rows):
+    path = str(tmp_path / "e")
+    df = spark.createDataFrame([(1, DAY, "early"), (2, DAY, "else")], "value int, day date, run_flag string")
+    write_partitions(df, path, ["day", "run_flag"])
+    own = {"day": DAY, "run_flag": "early"}
+    write_partitions(df.where("false"), path, ["day", "run_flag"], own=own)
+    assert rows(read_days(spark, path, DAY, DAY), "value", "run_flag") == [(2, "else")]
+    write_partitions(df.where("run_flag = 'early'"), path, ["day", "run_flag"], own=own)
+    assert rows(read_days(spark, path, DAY, DAY), "value", "run_flag") == [(1, "early"), (2, "else")]
+
+
 def test_catalog_table_and_registry(spark, tmp_path, rows):
     spark.sql("drop table if exists tw_part")
     spark.sql(f"create table tw_part (value int, day string, hour string) using parquet partitioned by (day, hour) location 'file:{tmp_path}/t'")
