@@ -4,7 +4,9 @@ A table holds every vector's distances to a set of pivots. For a query q and any
 bound of d(q,x), and the largest of these bounds gives an upper bound of the score, since
 2 <q,x> = |q|^2 + |x|^2 - d(q,x)^2. Vectors are stored in blocks around their nearest pivot. A query first searches
 its home block, which gives it a score to beat; then it visits the blocks whose bounds could beat it, evaluates
-candidates in the order of their bounds, and stops where no bound reaches the k-th best score. The result is exact.
+candidates in the order of their bounds, and stops where no bound reaches the k-th best score. Equal vectors have equal
+scores for every query, so of each group of them only the smallest ids can be among the best and become candidates;
+all of them remain queries. The result is exact.
 """
 
 from __future__ import annotations
@@ -63,6 +65,17 @@ def pivot_table(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
     return vectors.where(F.size("v") == dim).mapInArrow(measure, schema)
 
 
+def candidates(vectors: DataFrame, k: int) -> DataFrame:
+    """The rows that can be among the best k of any query: of equal vectors those with the k + 1 smallest ids, since ties
+    go to the smaller id and a query leaves out one id, its own; of rows repeated as they are, k.
+
+    Counts and row numbers are limited before they are shuffled, so a common vector makes no large group.
+    """
+    same = vectors.groupBy("v", "vec_id").agg(F.count("*").alias("times"))
+    first = same.withColumn("n", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("n") <= k + 1)
+    return first.select("vec_id", "v", F.explode(F.array_repeat(F.lit(0), F.least("times", F.lit(k)).cast("int")))).drop("col")
+
+
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
@@ -116,10 +129,11 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, pivots: int = PIVOTS) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each query row the ``k`` other rows of highest inner product, ties to the smaller id.
+    """(query_id, rank, vec_id, score): for each query id the ``k`` other rows of highest inner product, ties to the smaller id.
 
     ``vectors`` has vec_id and integer components v. Rows with the query's id are its own and left out; other repeated
-    rows are separate candidates. Only vectors of one length are compared: the most frequent one, the longer on ties.
+    rows are separate candidates; of a query id with several vectors the smallest is searched for. Only vectors of one
+    length are compared: the most frequent one, the longer on ties.
     An empty table gives an empty result; a query with fewer than ``k`` candidates gets them all.
     """
     spark = vectors.sparkSession
@@ -129,12 +143,16 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, pivots: int = PIVOTS) -> Dat
         return spark.createDataFrame([], schema)
     alike = vectors.where(F.size("v") == lengths.dim)
     few = alike.orderBy(F.xxhash64("vec_id")).limit(PIVOT_SAMPLE).toPandas()
-    measured = stored(pivot_table(alike, choose_pivots(np.stack(few.v.to_numpy()).astype(np.float64), pivots)), "pivots")
+    chosen = choose_pivots(np.stack(few.v.to_numpy()).astype(np.float64), pivots)
+    measured = stored(pivot_table(candidates(alike, k), chosen), "pivots")
     cells = {r.cell: r["count"] for r in measured.groupBy("cell").count().collect()}  # one row a pivot
     parts = F.create_map(*(F.lit(x) for c, n in cells.items() for x in (c, -(-n // BLOCK))))
-    blocks = stored(measured.withColumn("part", F.pmod(F.xxhash64("vec_id", "v"), parts[F.col("cell")]).cast("int")), "blocks")
+    part = F.pmod(F.xxhash64("v"), parts[F.col("cell")]).cast("int")
+    blocks = stored(measured.withColumn("part", part), "blocks")
 
-    queries = blocks.where(is_query).dropDuplicates(["vec_id"])
+    # a query's vector is a candidate's too, so its home block is there
+    one_each = alike.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
+    queries = stored(pivot_table(one_each, chosen).withColumn("part", part), "queries")
     n = queries.count()
     chunk = F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(max(1, -(-n // QUERIES)))).cast("int").alias("chunk")
     names = [F.col("vec_id").alias("query_id"), F.col("v").alias("qv"), F.col("norm").alias("qnorm"), F.col("far").alias("qfar"), chunk]

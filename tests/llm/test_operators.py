@@ -200,6 +200,16 @@ def test_top_k_matches_brute_force(spark, count):
     assert got == brute_top(rows, 5)
 
 
+def test_top_k_with_a_common_vector(spark):
+    rng = np.random.default_rng(1)
+    common = [2.0, -1.0, 3.0, 0.0]
+    rows = [(i, common if i % 3 == 0 else rng.integers(-2, 3, 4).astype(float).tolist()) for i in range(400)]
+    rows += [(15, common)] * 9 + [(2, rows[2][1])] * 3 + [(7, common)] * 2
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = [tuple(r) for r in top_k(integer_vectors(df), F.col("vec_id") % 5 == 0, pivots=8).collect()]
+    assert len(got) == len(set(got)) == 80 * 5 and set(got) == brute_top(rows, 5)
+
+
 def test_fingerprints(spark, edge, none):
     rows = edge.withColumn("p", fingerprint(F.col("text"))).select("doc_id", "text", "p", as_text(F.col("p")).alias("s")).collect()
     of = {}
