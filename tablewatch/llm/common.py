@@ -25,7 +25,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared folder and read again: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

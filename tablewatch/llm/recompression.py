@@ -27,6 +27,10 @@ WINDOW = 35
 ROUNDS = 4
 #: Symbols of fewer words are too common to rule anything out.
 LEAST_WORDS = 4
+#: Words or windows handled at a time.
+TOGETHER = 1 << 16
+#: Stands after each text where several are handled as one sequence.
+MARK = 0x5BD1E995A5A5F00D
 #: Key of a document in the shuffles: its id and 32 bits of its text's hash, which tell documents of one id apart.
 KEY = ["_id", "_t"]
 
@@ -72,14 +76,22 @@ def _pairs(level: tuple, ids: np.ndarray, seed: int) -> tuple:
     return _merged(level, low, high, joined, seed)
 
 
-def symbols(ids: np.ndarray, window: int, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Name and dependence [low, high] of the symbols of the last round whose dependence fits in a window.
+def symbols(texts: list[np.ndarray], window: int, rounds: int) -> tuple[np.ndarray, ...]:
+    """Text, name and dependence [low, high] of the symbols of the last round whose dependence fits in a window.
 
-    All symbols are of one round, so a text that holds the words of a dependence counts the same symbol there.
+    All symbols are of one round, so a text that holds the words of a dependence counts the same symbol there. The
+    texts are rewritten as one sequence with a mark after each; what depends on a mark is left out.
     """
+    texts_at = [i for i, ids in enumerate(texts) if len(ids) >= window]
+    if not texts_at:
+        return tuple(np.empty(0, t) for t in (np.int64, np.uint64, np.int64, np.int64))
+    mark = np.array([MARK], np.uint64)
+    ids = np.concatenate([x for i in texts_at for x in (texts[i], mark)])
+    sizes = np.array([len(texts[i]) for i in texts_at])
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    # of which text a word is, by twos; the mark after it has the odd number
+    of = np.repeat(np.arange(2 * len(sizes)), np.stack([sizes, np.ones_like(sizes)], axis=1).ravel())
     n = len(ids)
-    if n < window:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     at = np.arange(n, dtype=np.int32)
     level = (ids, at, at, at, at)
     for r in range(rounds):
@@ -87,7 +99,23 @@ def symbols(ids: np.ndarray, window: int, rounds: int) -> tuple[np.ndarray, np.n
         level = _pairs(level, ids, 2 * r + 2)
     names, first, last, low, high = level
     keep = (last - first + 1 >= LEAST_WORDS) & (low >= 0) & (high < n) & (high - low < window)
-    return names[keep], low[keep], high[keep]
+    names, low, high = names[keep], low[keep].astype(np.int64), high[keep].astype(np.int64)
+    whole = (of[low] == of[high]) & (of[low] % 2 == 0)
+    names, low, high = names[whole], low[whole], high[whole]
+    text = of[low] // 2
+    return np.array(texts_at)[text], names, low - starts[text], high - starts[text]
+
+
+def _chunks(counts: list[int], most: int) -> Iterator[slice]:
+    """Neighbouring texts of ``most`` words together, or one longer text."""
+    lo = total = 0
+    for i, n in enumerate(counts):
+        if total and total + n > most:
+            yield slice(lo, i)
+            lo, total = i, 0
+        total += n
+    if lo < len(counts):
+        yield slice(lo, len(counts))
 
 
 def _text_key() -> list:
@@ -102,16 +130,13 @@ def _symbol_rows(keyed: DataFrame, window: int, rounds: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts, rows = [], []
-            for i, text in enumerate(batch.column(2)):
-                names, low, high = symbols(word_ids(raw_words(text.as_py(), False)), window, rounds)
+            texts = [word_ids(raw_words(text.as_py(), False)) for text in batch.column(2)]
+            for part in _chunks([len(ids) for ids in texts], TOGETHER):
+                text, names, low, high = symbols(texts[part], window, rounds)
                 if len(names):
-                    parts.append((names.view(np.int64), low.astype(np.int64) << 32 | high))
-                    rows.append(np.full(len(names), i))
-            if parts:
-                at = pa.array(np.concatenate(rows))
-                names, spans = (np.concatenate(x) for x in zip(*parts))
-                yield pa.RecordBatch.from_arrays([*(batch.column(j).take(at) for j in range(2)), pa.array(names), pa.array(spans)], names=[*KEY, "name", "span"])
+                    at = pa.array(text + part.start)
+                    spans = pa.array(low << 32 | high)
+                    yield pa.RecordBatch.from_arrays([*(batch.column(j).take(at) for j in range(2)), pa.array(names.view(np.int64)), spans], names=[*KEY, "name", "span"])
 
     return keyed.select(*KEY, "text").mapInArrow(read, "_id long, _t int, name long, span long")
 
@@ -126,6 +151,28 @@ def _window_names(ids: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndar
     return one.view(np.int64), (two >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def _named_windows(found: DataFrame, window: int) -> DataFrame:
+    """Key, start and names of the windows in the ranges ``starts``. Names cannot be compressed, so they are
+    made here, not stored."""
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            open_at = [_expanded(r) for r in batch.column(3)]
+            for part in _chunks([len(x) for x in open_at], TOGETHER):
+                texts = [word_ids(raw_words(text.as_py(), False)) for text in batch.column(2)[part]]
+                here = open_at[part]
+                before = np.cumsum([0, *(len(ids) for ids in texts[:-1])])
+                ids, all_at = np.concatenate(texts), np.concatenate([at + b for at, b in zip(here, before)])
+                row, start = np.repeat(np.arange(part.start, part.stop), [len(x) for x in here]), np.concatenate(here)
+                for lo in range(0, len(start), TOGETHER):
+                    some = slice(lo, lo + TOGETHER)
+                    one, two = _window_names(ids, all_at[some], window)
+                    key = [batch.column(j).take(pa.array(row[some])) for j in range(2)]
+                    yield pa.RecordBatch.from_arrays([*key, pa.array(start[some], pa.int32()), pa.array(one), pa.array(two)], names=[*KEY, "start", "w1", "w2"])
+
+    return found.select(*KEY, "text", "starts").mapInArrow(name, "_id long, _t int, start int, w1 long, w2 int")
+
+
 def _open_starts(words: int, spans: pa.Scalar, window: int) -> np.ndarray:
     """Starts of windows that no symbol seen once rules out: it rules out those that hold its whole span."""
     n = words - window + 1
@@ -139,6 +186,18 @@ def _open_starts(words: int, spans: pa.Scalar, window: int) -> np.ndarray:
     return np.flatnonzero(np.cumsum(steps[:n]) == 0)
 
 
+def _ranges(at: np.ndarray) -> np.ndarray:
+    """Ascending numbers as ranges: first of each and the one after its last, in turn."""
+    breaks = np.flatnonzero(np.diff(at) != 1)
+    return np.stack([at[np.append(0, breaks + 1)], at[np.append(breaks, len(at) - 1)] + 1], axis=1).ravel() if len(at) else at
+
+
+def _expanded(ranges: pa.Scalar) -> np.ndarray:
+    ends = np.asarray(ranges.values, np.int64).reshape(-1, 2)
+    size = ends[:, 1] - ends[:, 0]
+    return np.repeat(ends[:, 0] - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
 def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     offsets = pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32())
     flat = np.concatenate(arrays) if arrays else np.empty(0)
@@ -146,7 +205,8 @@ def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 def _with_windows(docs: DataFrame, window: int, rounds: int, closed=None) -> tuple[DataFrame, DataFrame]:
-    """The documents without and with windows that may be repeated; the latter with the ``starts`` of those that are.
+    """The documents without and with windows that may be repeated; the latter with ranges of the ``starts`` of those
+    windows and with those of them that are ``lone`` after all.
 
     ``docs`` has doc_id, text and further columns. Words lie between ASCII white space, unchanged; a repeated row is a
     copy like any other. ``closed`` may make a column ``done`` of a text without such windows, which then travels
@@ -161,35 +221,30 @@ def _with_windows(docs: DataFrame, window: int, rounds: int, closed=None) -> tup
 
     def open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts, ones, twos, texts, done = [], [], [], [], []
+            starts, texts, done = [], [], []
             for text, spans in zip(batch.column(text_at), batch.column(len(names))):
                 words = raw_words(text.as_py(), False)
                 at = _open_starts(len(words), spans, window)
-                one, two = _window_names(word_ids(words), at, window) if len(at) else (at, at)
-                starts.append(at)
-                ones.append(one)
-                twos.append(two)
+                starts.append(_ranges(at))
                 over = closed is not None and not len(at)
                 texts.append(None if over else text.as_py())
                 done.append(closed(words) if over else None)
             columns = [pa.array(texts, pa.string()) if i == text_at else batch.column(i) for i in range(len(names))]
-            lists = [_lists(starts, pa.int32()), _lists(ones, pa.int64()), _lists(twos, pa.int32())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(done, pa.string()), *lists], names=[*names, "done", "starts", "w1", "w2"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(done, pa.string()), _lists(starts, pa.int32())], names=[*names, "done", "starts"])
 
     joined = keyed.join(ruled, KEY, "left").select(*names, "spans")
-    made = extended(keyed.select(*names).schema, "done string, starts array<int>, w1 array<long>, w2 array<int>")
+    made = extended(keyed.select(*names).schema, "done string, starts array<int>")
     found = stored(joined.mapInArrow(open_windows, made), "windows")
     some = F.size("starts") > 0
-    windows = found.where(some).select(*KEY, F.explode(F.arrays_zip("starts", "w1", "w2")).alias("w"))
-    windows = windows.select(*KEY, F.col("w.starts").alias("start"), "w.w1", "w.w2")
+    windows = _named_windows(found.where(some), window)
     lone = windows.groupBy("w1", "w2").agg(F.count("*").alias("times"), *(F.min(c).alias(c) for c in (*KEY, "start"))).where("times = 1")
     lone = lone.groupBy(*KEY).agg(F.collect_list("start").alias("lone"))
-    return found.where(~some).drop("starts", "w1", "w2"), found.where(some).drop("w1", "w2").join(lone, KEY, "left")
+    return found.where(~some).drop("starts"), found.where(some).join(lone, KEY, "left")
 
 
 def _cover(starts: pa.Scalar, lone: pa.Scalar, n: int, window: int) -> np.ndarray:
-    """Which of ``n`` words lie in a window that starts in the one list and not in the other."""
-    at = np.asarray(starts.values)
+    """Which of ``n`` words lie in a window that starts in the ranges and not in the list."""
+    at = _expanded(starts)
     if lone.is_valid:
         at = np.setdiff1d(at, np.asarray(lone.values), assume_unique=True)
     steps = np.zeros(n + 1, np.int64)

@@ -5,13 +5,14 @@ import itertools
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest_texts import word_lists
 from tablewatch.llm.lines import cut_lines, without_repeated_lines
 from tablewatch.llm.minhash import keep_first, least_agreeing, near_duplicates
-from tablewatch.llm.recompression import repeat_digest, symbols, without_repeats
-from tablewatch.llm.words import word_ids
+from tablewatch.llm.recompression import _chunks, _expanded, _ranges, repeat_digest, symbols, without_repeats
+from tablewatch.llm.words import mix, word_ids
 
 
 def brute_lines(texts, least):
@@ -151,13 +152,23 @@ def test_symbols_depend_on_their_span_alone():
     for letters in (2, 3, 30):
         for _ in range(150):
             ids = word_ids([b"%d" % x for x in rng.integers(letters, size=80)])
-            names, low, high = symbols(ids, 35, 4)
+            _, names, low, high = symbols([ids], 35, 4)
             for name, lo, hi in zip(names, low, high):
                 around = [word_ids([b"%d" % x for x in rng.integers(letters, size=40)]) for _ in range(2)]
-                names2, low2, _ = symbols(np.concatenate([around[0], ids[lo : hi + 1], around[1]]), 35, 4)
+                _, names2, low2, _ = symbols([np.concatenate([around[0], ids[lo : hi + 1], around[1]])], 35, 4)
                 assert name in names2[low2 == 40]
 
 
+def test_symbols_of_several_texts():
+    rng = np.random.default_rng(5)
+    texts = [mix(rng.integers(0, 40, n).astype(np.uint64)) for n in (300, 0, 34, 35, 90, 1000)]
+    alone = [(i, *x) for i, t in enumerate(texts) for x in zip(*(c.tolist() for c in symbols([t], 35, 4)[1:]))]
+    assert alone == list(zip(*(c.tolist() for c in symbols(texts, 35, 4))))
+    for at in ([], [3], [3, 4, 5, 9, 10, 20], list(range(50))):
+        assert _expanded(pa.scalar(_ranges(np.array(at, np.int64)), pa.list_(pa.int64()))).tolist() == at
+    assert [(c.start, c.stop) for c in _chunks([5, 0, 9, 2, 30, 1], 10)] == [(0, 2), (2, 3), (3, 4), (4, 5), (5, 6)]
+
+
 def test_repeat_edges(edge, none):
     rows = repeat_digest(edge).collect()
     assert len(rows) == edge.count()
