@@ -31,8 +31,8 @@ LEAST_WORDS = 4
 TOGETHER = 1 << 16
 #: Stands after each text where several are handled as one sequence.
 MARK = 0x5BD1E995A5A5F00D
-#: Key of a document in the shuffles: its id and 32 bits of its text's hash, which tell documents of one id apart.
-KEY = ["_id", "_t"]
+#: Key of a document in the shuffles.
+KEY = ["_k1", "_k2"]
 
 
 def _merged(level: tuple, low: np.ndarray, high: np.ndarray, joined: np.ndarray, seed: int) -> tuple:
@@ -119,10 +119,9 @@ def _chunks(counts: list[int], most: int) -> Iterator[slice]:
 
 
 def _text_key() -> list:
-    return [
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"),
-        F.hash(F.coalesce(F.col("text"), F.lit(""))).alias("_t"),
-    ]
+    """128 bits of a document's id and text: shorter than id and text hash, and no two documents share them in practice."""
+    whole = [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.coalesce(F.col("text"), F.lit(""))]
+    return [F.xxhash64(*whole).alias("_k1"), F.xxhash64(F.lit(7), *whole).alias("_k2")]
 
 
 def _symbol_rows(keyed: DataFrame, window: int, rounds: int) -> DataFrame:
@@ -138,7 +137,7 @@ def _symbol_rows(keyed: DataFrame, window: int, rounds: int) -> DataFrame:
                     spans = pa.array(low << 32 | high)
                     yield pa.RecordBatch.from_arrays([*(batch.column(j).take(at) for j in range(2)), pa.array(names.view(np.int64)), spans], names=[*KEY, "name", "span"])
 
-    return keyed.select(*KEY, "text").mapInArrow(read, "_id long, _t int, name long, span long")
+    return keyed.select(*KEY, "text").mapInArrow(read, "_k1 long, _k2 long, name long, span long")
 
 
 def _window_names(ids: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -170,7 +169,7 @@ def _named_windows(found: DataFrame, window: int) -> DataFrame:
                     key = [batch.column(j).take(pa.array(row[some])) for j in range(2)]
                     yield pa.RecordBatch.from_arrays([*key, pa.array(start[some], pa.int32()), pa.array(one), pa.array(two)], names=[*KEY, "start", "w1", "w2"])
 
-    return found.select(*KEY, "text", "starts").mapInArrow(name, "_id long, _t int, start int, w1 long, w2 int")
+    return found.select(*KEY, "text", "starts").mapInArrow(name, "_k1 long, _k2 long, start int, w1 long, w2 int")
 
 
 def _open_starts(words: int, spans: pa.Scalar, window: int) -> np.ndarray:

@@ -146,6 +146,21 @@ def test_repeats_match_brute_force(spark, words):
         assert got[i].kept_sha256 == hashlib.sha256(b" ".join(kept)).hexdigest()
 
 
+def test_repeats_of_texts_whose_short_hashes_agree(spark):
+    """Two texts without an id that agree in Spark's 32-bit hash keep apart what rules their windows out."""
+    from pyspark.sql import functions as F
+
+    own = "array_join(transform(sequence(0, 39), n -> concat('x', id, '_', n)), ' ')"
+    one, two = (" ".join(f"{c}{i}" for i in range(40)) for c in "pq")
+    made = spark.range(300_000).selectExpr("id", f"if(id % 2 = 0, concat({own}, ' {one}'), concat('{two} ', {own})) AS text")
+    alike = made.groupBy(F.hash("text").alias("h")).agg(F.min_by("text", F.col("id") % 2).alias("a"), F.max_by("text", F.col("id") % 2).alias("b"), F.countDistinct(F.col("id") % 2).alias("n"))
+    first = alike.where("n = 2").orderBy("h").first()
+    texts = [first.a, first.b, one, two]
+    df = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    got = sorted((r.n_words, r.n_removed, r.kept_sha256) for r in repeat_digest(df, window=12, rounds=3).collect())
+    assert got == sorted((n, gone, hashlib.sha256(b" ".join(kept)).hexdigest()) for n, gone, kept in brute_repeats(texts, 12))
+
+
 def test_symbols_depend_on_their_span_alone():
     """A text that holds the words of a dependence counts the same symbol there, whatever surrounds it."""
     rng = np.random.default_rng(1)
