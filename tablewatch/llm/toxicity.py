@@ -3,6 +3,7 @@
 Strings are the words of a sentence, lower-case letters and digits only, with their ends marked. The kernel of two
 strings counts the subsequences of three characters that they share within a span of five, each gap discounted, so a
 word with a character dropped in, doubled or replaced stays close to itself. Letters written apart are read as a word.
+What stands between blanks is read as one word and by its parts between other signs; a long word by all its windows.
 Landmarks are words of the training documents; a string is mapped to its kernel values with them, whitened by the
 kernel of the landmarks, and a linear machine is fitted there. Since the kernel is a product of explicit counts, the
 fitted machine folds into one weight for each subsequence, and scoring needs no landmark any more.
@@ -17,6 +18,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +40,14 @@ TABLE_BITS = 21
 PURITY, EVIDENCE = 0.5, 3.0
 #: Weight of all toxic words against all clean ones in the fit.
 WEIGHT = 0.2
+#: Words of more letters are scored by windows of ``SPAN`` letters, one at every ``STEP``: any run of SPAN - STEP + 1
+#: letters lies whole in one of them.
+LONG, SPAN, STEP = 32, 12, 2
 #: Bounds of the distinct words taken as background, and of a worker's cache of scored words.
 BACKGROUND, CACHE = 20_000, 400_000
 
 _apart = re.compile(r"(?<![^\W_])(?:[^\W_][\W_]{1,2}){3,}[^\W_](?![^\W_])")
+_letters = re.compile(r"[^\W_]+")
 _P = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
 
 
@@ -58,6 +64,16 @@ def plain(token: str) -> str:
     return token if token.isalnum() else "".join(c for c in token if c.isalnum())
 
 
+def units(token: str) -> Iterator[str]:
+    """The words by which a token is judged: its letters together and those between its other signs; windows of long ones."""
+    whole = plain(token)
+    for word in (whole,) if len(whole) == len(token) else (whole, *_letters.findall(token)):
+        if len(word) <= LONG:
+            yield word
+        else:
+            yield from (word[lo : lo + SPAN] for lo in range(0, len(word) - SPAN + STEP, STEP))
+
+
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, subsequence, weight) of all gapped subsequences; every word's weights have length one."""
     marked = [f"\x02{w}\x03" for w in words]
@@ -99,9 +115,11 @@ class Machine:
         if len(self.known) > CACHE:
             self.known.clear()
         new = list({t for ts in split for t in ts if t not in self.known} | ({""} - self.known.keys()))
-        for lo in range(0, len(new), 20_000):
-            part = new[lo : lo + 20_000]
-            self.known.update(zip(part, self.margins([plain(t)[:256] for t in part]).tolist()))
+        found = np.full(len(new), -np.inf)
+        every = ((i, word) for i, t in enumerate(new) for word in units(t))
+        while part := list(islice(every, 20_000)):
+            np.maximum.at(found, [i for i, _ in part], self.margins([word for _, word in part]))
+        self.known.update(zip(new, found.tolist()))
         known = self.known
         return np.array([max(map(known.__getitem__, ts), default=known[""]) for ts in split])
 
@@ -174,7 +192,7 @@ def fit(texts: list[str | None], toxic: list[int], landmarks: int = LANDMARKS, r
         blank.slope, blank.base = 0.0, (0.0 if not len(y) else -5.0 if y.max() == 0 else 5.0)
         return blank
     number: dict[str, int] = {}
-    docs = [np.array(sorted({number.setdefault(p[:256], len(number)) for t in tokens(x) if (p := plain(t))}), np.int64) for x in texts]
+    docs = [np.array(sorted({number.setdefault(p, len(number)) for t in tokens(x) for p in units(t) if p}), np.int64) for x in texts]
     words = list(number)
     if not words:
         return _calibrated(blank, np.zeros(len(y)), y)

@@ -156,6 +156,25 @@ def test_toxicity_tolerates_gaps():
     assert 0 <= score("") <= 1
 
 
+def test_toxicity_late_in_long_tokens():
+    """An insult counts wherever it stands: after other signs, among letters written apart, inside a word without end."""
+    rng = np.random.default_rng(0)
+    words = [f"{a}{b}{c}" for a in ("ba", "ne", "lo", "tri") for b in ("mu", "sa", "ke") for c in ("nd", "rt", "ll")]
+    insults = ["wretchling", "scumfolk", "dolthead"]
+    texts = [" ".join([*rng.choice(words, 30), *([insults[i % 3]] if i % 5 == 0 else [])]) for i in range(300)]
+    m = toxicity.fit(texts, [int(i % 5 == 0) for i in range(300)])
+    score = lambda t: float(m.probability(m.worst([t]))[0])
+    listed, apart, solid = ",".join(f"word{i}" for i in range(60)), " ".join("lomund" * 50), "".join(rng.choice(words, 60))
+    for clean in (listed, apart, solid):
+        assert len(max(map(toxicity.plain, toxicity.tokens(clean)), key=len)) > 256 and score(clean) < 0.5
+    for insult in insults:
+        for odd in (f"{listed},{insult}", f"{listed}_{insult}", f"{apart} {' '.join(insult)}", solid + insult, solid + insult + solid):
+            assert score(odd) > 0.5, odd
+    # what is learned from long tokens is not their beginning alone
+    late = toxicity.fit([f"{listed},{t.replace(' ', ',')}" for t in texts], [int(i % 5 == 0) for i in range(300)])
+    assert late.probability(late.worst(["lomund dolthead"]))[0] > 0.5 > late.probability(late.worst(["lomund"]))[0]
+
+
 def test_toxicity_edges(spark, edge, none):
     labels = spark.createDataFrame([(0, 1), (5, 0), (None, 1), (7, None)], "doc_id long, toxic int")
     found = toxicity.score(edge, toxicity.learn(edge, labels)).where("score between 0 and 1")
