@@ -1,7 +1,8 @@
 """Document fingerprints by Order MinHash.
 
 The k-mers of a text are its runs of k words, numbered by occurrence, so that a repeated one counts as often as it
-stands there. One hash deals them to bins; in each bin the smallest are selected, put back into text order and hashed
+stands there. A long word counts as the words that its runs of GRAM characters are, one from each place, so a text
+without white space has k-mers in proportion to its length too. One hash deals them to bins; in each bin the smallest are selected, put back into text order and hashed
 as a tuple. A bin's value survives an edit only if the same k-mers stay minimal and keep their order, so agreement of
 two fingerprints falls with the edit distance of the texts, moved passages included.
 
@@ -20,6 +21,8 @@ K, TUPLE = 2, 2
 #: Bins are the upper bits of an element; then 35 bits of its hash; then the place of the k-mer in the text.
 BIN_BITS, PLACE_BITS = 5, 24
 _PLACE = (1 << PLACE_BITS) - 1
+#: Words of more characters are taken by their runs of ``GRAM`` characters.
+LONG_WORD, GRAM = 24, 6
 #: White space between words: space and the ASCII controls from tab to carriage return.
 _BLANKS = " \t\n\x0b\x0c\r"
 #: Ranges of ids within which the next document is found; what lies at their edges is joined on.
@@ -31,9 +34,23 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def _grams(word: Column) -> Column:
+    """A long word as its runs of characters, any other as it is."""
+    runs = lambda c: F.transform(
+        F.sequence(F.lit(0), F.size(c) - GRAM), lambda i: F.concat(*(F.get(c, i + j) for j in range(GRAM)))
+    )
+    return F.when(F.char_length(word) > LONG_WORD, _let(F.split(word, ""), runs)).otherwise(F.array(word))
+
+
 def _words(text: Column) -> Column:
     inner = F.btrim(text, F.lit(_BLANKS))
-    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[\x20\x09-\x0D]+"))
+    words = F.split(inner, r"[\x20\x09-\x0D]+")
+    long = inner.rlike(r"[^\x20\x09-\x0D]{%d}" % (LONG_WORD + 1))
+    return (
+        F.when(inner == "", F.array().cast("array<string>"))
+        .when(long, F.flatten(F.transform(words, _grams)))
+        .otherwise(words)
+    )
 
 
 def _kmers(words: Column, k: int) -> Column:

@@ -244,6 +244,17 @@ def test_fingerprints(spark, edge, none):
     assert none.select(fingerprint(F.col("text"))).count() == 0
 
 
+def test_fingerprints_of_texts_without_blanks(spark):
+    rng = np.random.default_rng(2)
+    base, other = ("".join(rng.choice(list("abcdefghij日本é🙂"), 2000)) for _ in range(2))
+    texts = [base, "xy" + base, base[:1500] + other[:500], base[1000:] + base[:1000], other, base[:900] + " " + base[900:]]
+    df = spark.createDataFrame([[t] for t in texts], "t string")
+    prints = fingerprint(F.lit(base))
+    same, moved_on, near, swapped, far, parted = (r[0] for r in df.select(likeness(prints, fingerprint(F.col("t")))).collect())
+    assert same == 1 and far == 0 and moved_on > 0.8 and parted > 0.8 and 0.2 < near < 1 and 0 < swapped < 1
+    assert spark.range(1).select(F.size(prints)).first()[0] > 20
+
+
 @pytest.mark.parametrize("ranges", [1, 3, 256])
 def test_next_document(spark, ranges):
     df = spark.createDataFrame([(i * 7 % 50, f"t{i * 7 % 50}") for i in range(50)], "doc_id long, text string").repartition(4)
