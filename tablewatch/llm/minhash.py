@@ -217,7 +217,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     Two documents are linked where the Jaccard similarity of their sets of ``k``-word shingles is at least
     ``percent`` / 100. Documents without words have no links; a null text has no words; equal sets are one node, so
     copies and repeated rows are never compared with each other. A null id is kept and never names a component that
-    has another id. Also returned: the document's key (id and text hashes) and ``node``.
+    has another id. Also returned: the document's key (id and text hashes), ``node``, and ``root``, which names the
+    component itself: unlike ``component_id``, no two components share it, whatever ids are null or repeated.
 
     In every bucket the member that shares most buckets with others is the hub, and all are confirmed against it.
     Members that this leaves outside the hub's component are then compared with all of another component, in blocks
@@ -254,19 +255,23 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
 
     rooted = nodes.join(found, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(lowest, "root").select("node", "component_id")
+    named = rooted.join(lowest, "root").select("node", "root", "component_id")
     out = signed.drop("bands", "signature").join(named, "node", "left").withColumn(
         "component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     )
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), *KEY, "node")
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), *KEY, "node", "root")
 
 
 def keep_first(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without near-duplicates of a smaller id: one row of each group, with the columns of ``docs``."""
+    """One row of each group of near-duplicates, with the columns of ``docs``: that of the smallest id, then text hash.
+
+    A null id comes last. Unlike texts that share an id, or have none, are groups of their own.
+    """
     found = near_duplicates(docs, k, percent).where("kept")
     lone = found.where("node is null")
-    one = found.where("node is not null").dropDuplicates(["component_id"])
-    keep = lone.select(*KEY).unionAll(one.select(*KEY)).distinct()
+    # of those kept in one component, all have the same id or none
+    one = found.where("node is not null").groupBy("root").agg(F.min(F.struct(*KEY)).alias("first")).select("first.*")
+    keep = lone.select(*KEY).unionAll(one).distinct()
     # several rows of one id and text are one document
     single = wrapped(docs).withColumns(dict(zip(KEY, text_key()))).join(keep, KEY)
     copies = single.withColumn("copy", F.row_number().over(Window.partitionBy(*KEY).orderBy(F.xxhash64("row"))))

@@ -118,6 +118,17 @@ def test_near_dedup_edges(edge, none):
     assert near_duplicates(none).count() == keep_first(none).count() == 0
 
 
+def test_unlike_texts_of_one_id_are_all_kept(spark):
+    """Without ids, and with one shared id: near copies go, unrelated texts stay, the group of another id among them."""
+    text = lambda name: " ".join(f"{name}{i}" for i in range(40))
+    rows = [(None, text(n)) for n in "abcdef"] + [(7, text(n)) for n in "ghijkl"]
+    rows += [(None, text("a") + " more"), (7, text("g") + " more"), (3, text("m")), (7, text("m") + " more"), (None, text("m"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = [(r.doc_id, r.text.split()[0][0]) for r in keep_first(df, k=2).collect()]
+    expected = [(None, n) for n in "abcdef"] + [(7, n) for n in "ghijkl"] + [(3, "m")]
+    assert sorted(kept, key=str) == sorted(expected, key=str)
+
+
 def test_signature_bound():
     assert 50 < least_agreeing(96, 80) < 65 and least_agreeing(96, 100) == 96
 
