@@ -169,15 +169,17 @@ def profile_all(
     run: str,
     apps: dict[str, str] | None = None,
     read_days: dict[str, object] | None = None,
+    partitions: dict[str, tuple[str, ...]] | None = None,
 ) -> DataFrame:
     """Metric rows of many tables for one run, ready for the (day, run_flag) partition.
 
+    ``partitions`` names a table's partition columns besides ``day``; they are not profiled, all others are.
     ``tables`` maps names to data, ``config`` has one attribute row per table. The union is one
     job; Spark's scheduler interleaves its scans.
     """
     parts = []
     for name, df in tables.items():
-        plan = table_profile(df.schema, (apps or {}).get(name, ""), skip=("day", "hour"))
+        plan = table_profile(df.schema, (apps or {}).get(name, ""), skip=("day", *(partitions or {}).get(name, ())))
         read = (read_days or {}).get(name)
         parts.append(profile_table(df, plan, as_of, read).withColumn("name", F.lit(name)))
     return with_attributes(reduce(DataFrame.unionByName, parts), config, as_of, run)

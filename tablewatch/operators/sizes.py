@@ -42,6 +42,21 @@ def hour_bytes(files: DataFrame, by_mtime: Column | None = None) -> DataFrame:
     )
 
 
+def _without_day(files: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Inventory rows with files whose day is missing or malformed: their bytes, and their number in the status.
+
+    Exports without day partitions have none by design. One row per series meets the inventory.
+    """
+    keys = F.coalesce(F.col("partition_keys"), F.lit(""))
+    dayless = (F.col("source_kind") == "db_export") & ((keys == "") | keys.contains("mon"))
+    found = files.where(F.col("day").isNull()).groupBy(*SERIES).agg(
+        F.sum("length").alias("file_bytes"), F.count("*").alias("_files")
+    )
+    status = F.concat(F.lit("InvalidDay"), F.col("_files").cast("string"), F.lit("Files"))
+    known = inventory.where(~F.coalesce(dayless, F.lit(False))).drop("status", "file_bytes")
+    return known.join(found, SERIES).withColumn("status", status)
+
+
 def recent_partitions(days: DataFrame, n: int = 110, keys: list[str] = SERIES) -> DataFrame:
     """The latest ``n`` partitions of every series (one row per series and day)."""
     latest = Window.partitionBy(*keys).orderBy(F.desc("day"))
@@ -98,6 +113,7 @@ def daily_sizes(
 ) -> DataFrame:
     """Every inventory row with its bytes on the day, its total and its status.
 
+    Files without a valid day make a further row of their series, with a status of its own.
     Both measurements are one row per series before they meet the inventory, whose rows are
     distinct, so the joins have no hot keys.
     """
@@ -139,10 +155,12 @@ def daily_sizes(
         .withColumn("file_bytes", bytes_now)
         .withColumn("_path", path)
     )
-    return joined.select(
+    measured_rows = joined.select(
         *SERIES, "source_kind", F.col("_path").alias("path"), "file_bytes", status.alias("status"),
         total.alias("table_bytes"), "queries", "partition_keys", as_date(as_of).alias("day"),
     )
+    lost = _without_day(files, inventory).withColumn("day", as_date(as_of))
+    return measured_rows.unionByName(lost.select(*measured_rows.columns))
 
 
 def partition_path(
@@ -170,6 +188,7 @@ def hourly_sizes(
 
     Tables without an hour partition count files by the hour they were written. A table that
     delivered keeps no earlier complaint; raw logs without any file that day take their gap status.
+    Files without a valid day make a further row of their series, with a status of its own.
     """
     live = inventory.where(F.col("source_kind") != "db_export")
     keys = F.coalesce(F.col("partition_keys"), F.lit(""))
@@ -197,10 +216,12 @@ def hourly_sizes(
         live.join(by_hour, SERIES, "left").join(gaps, SERIES, "left").withColumn("file_bytes", bytes_now)
     )
     path = F.when(measured, partition_path("path", as_date(day), F.lit(hour))).otherwise(F.col("path"))
-    return joined.select(
+    measured_rows = joined.select(
         *SERIES, "source_kind", path.alias("path"), "file_bytes", status.alias("status"),
         "table_bytes", "queries", "partition_keys", as_date(day).alias("day"), F.lit(hour).alias("hour"),
     )
+    lost = _without_day(files, live).withColumn("day", as_date(day)).withColumn("hour", F.lit(hour))
+    return measured_rows.unionByName(lost.select(*measured_rows.columns))
 
 
 def cutoff_table(daily: DataFrame) -> DataFrame:

@@ -195,6 +195,11 @@ def _report_rows(flags: DataFrame, inventory: DataFrame, topic_pairs: DataFrame
     return rows.join(topic_pairs, "name", "left").withColumn("topic", F.coalesce("topic", F.lit("")))
 
 
+def _undated() -> Column:
+    """Rows that tell of files without a valid day; the series itself may be well."""
+    return F.coalesce(F.col("status").startswith("InvalidDay"), F.lit(False))
+
+
 def daily_report(
     cutoffs: DataFrame,
     anomalies: DataFrame,
@@ -207,18 +212,19 @@ def daily_report(
 ) -> DataFrame:
     """Cut-off tables of two days and fluctuating tables of the day, important ones only.
 
-    ``detail`` is the status of a cut-off table or the day's bytes of a fluctuating one.
+    ``detail`` is the status of a cut-off table or the day's bytes of a fluctuating one. Files without a valid day are
+    flagged ``undated``; they say nothing about the table's own state.
     """
     day = as_date(as_of)
     cut = (
         days_between(cutoffs, F.date_sub(day, 1), day)
         .where(is_important(**thresholds))
-        .select(F.lit("cutoff").alias("flag"), "source_kind", "name", F.col("status").alias("detail"), "day")
+        .select(F.when(_undated(), "undated").otherwise("cutoff").alias("flag"), "source_kind", "name", F.col("status").alias("detail"), "day")
     )
     moved = anomalies.where(F.col("day") == day)
     if whitelist is not None:
         moved = without(moved, whitelist, ["name"])
-    moved = without(moved, cutoffs.where(F.col("day") == day), ["name"])
+    moved = without(moved, cutoffs.where((F.col("day") == day) & ~_undated()), ["name"])
     today = F.when(F.col("update_time") == midnight(day), F.col("file_bytes")).otherwise(0)
     moved = moved.groupBy("source_kind", "name").agg(
         F.max(today).cast("string").alias("detail"), F.max("day").alias("day")
@@ -235,11 +241,13 @@ def report_diff(report: DataFrame, as_of) -> DataFrame:
     day = as_date(as_of)
     now = (F.col("flag") == "cutoff") & (F.col("day") == day)
     before = (F.col("flag") == "cutoff") & (F.col("day") == F.date_sub(day, 1))
+    undated = (F.col("flag") == "undated") & (F.col("day") == day)
     keys = ["source_kind", "name"]
     merged = report.groupBy(*keys).agg(
         F.max(F.when(now, F.col("detail"))).alias("_now"),
         F.max(F.when(before, F.col("detail"))).alias("_before"),
         F.max(F.when(F.col("flag") == "fluctuation", F.col("detail"))).alias("_moved"),
+        F.max(F.when(undated, F.col("detail"))).alias("_undated"),
         F.max("table_bytes").alias("table_bytes"),
         F.max("queries").alias("queries"),
     )
@@ -248,6 +256,7 @@ def report_diff(report: DataFrame, as_of) -> DataFrame:
             F.when(F.col("_now").isNotNull() & F.col("_before").isNull(), F.struct(F.lit("new").alias("change"), F.col("_now").alias("detail"))),
             F.when(F.col("_now").isNull() & F.col("_before").isNotNull(), F.struct(F.lit("recovered").alias("change"), F.col("_before").alias("detail"))),
             F.when(F.col("_moved").isNotNull(), F.struct(F.lit("fluctuating").alias("change"), F.col("_moved").alias("detail"))),
+            F.when(F.col("_undated").isNotNull(), F.struct(F.lit("undated").alias("change"), F.col("_undated").alias("detail"))),
         )
     )
     return merged.select(*keys, "table_bytes", "queries", F.explode(cases).alias("_c")).select(
@@ -322,6 +331,8 @@ def hourly_report(
     rows = days_between(anomalies, F.date_sub(day, 1), day)
     if whitelist is not None:
         rows = without(rows, whitelist, ["name"])
+    if "status" in cutoffs.columns:
+        cutoffs = cutoffs.where(~_undated())
     rows = without(rows, days_between(cutoffs, F.date_sub(day, 2), F.date_sub(day, 1)), ["name"])
     flags = streak(rows, as_of_ts).withColumn("hour", F.lit(hour))
     return report_order(_report_rows(flags, inventory, topic_pairs, raw_root, **thresholds))

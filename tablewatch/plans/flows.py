@@ -118,6 +118,7 @@ def profile_run(
     apps: dict[str, str] | None = None,
     read_days_of: dict[str, object] | None = None,
     group: int = 50,
+    partitions: dict[str, tuple[str, ...]] | None = None,
 ) -> DataFrame:
     """Profile the tables of one run into its (day, run_flag) partition; returns the metric history.
 
@@ -130,7 +131,7 @@ def profile_run(
     groups = [names[i : i + group] for i in range(0, len(names), group)]
     for i, part in enumerate(groups):
         chosen = {n: tables[n] for n in part}
-        rows = profile_all(chosen, config, as_of, run, apps, read_days_of).withColumn("part", F.lit(i))
+        rows = profile_all(chosen, config, as_of, run, apps, read_days_of, partitions).withColumn("part", F.lit(i))
         parts = keep(rows, store, "metric_parts", ["day", "run_flag", "part"])
     mine = until(parts, as_of, 0).where((F.col("run_flag") == run) & (F.col("part") < len(groups)))
     return keep(mine.drop("part"), store, "metric_history", ["day", "run_flag"], day=as_of, run_flag=run)

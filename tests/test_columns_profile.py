@@ -116,3 +116,11 @@ def test_profile_config_orders_and_splits(spark):
         ("small", "early", ["pay_cnt"]), ("mid", "early", ["pay_cnt"]), ("big", "else", ["pay_cnt"]),
     ]
     assert [r.name for r in columns.profile_config(cat, "else").collect()] == ["big"]
+
+
+def test_hour_is_profiled_unless_it_is_a_partition(spark):
+    df = spark.createDataFrame([(1, 3, dt.date(2024, 5, 20))], "pay_cnt bigint, hour int, day date")
+    attributes = "name string, app_name string, owner string, partition_keys string, table_bytes long, queries long, day_bytes long, downstream string"
+    config = spark.createDataFrame([("t", "a", "o", "day", 1, 1, 1, "")], attributes)
+    names = lambda **x: {r.metric for r in profile.profile_all({"t": df}, config, dt.date(2024, 5, 20), "early", **x).collect()}
+    assert any(m.startswith("hour") for m in names()) and not any(m.startswith("hour") for m in names(partitions={"t": ("hour",)}))

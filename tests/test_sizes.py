@@ -132,3 +132,29 @@ def test_hour_bytes(spark, world):
     assert by_part == {("ev", 3): 7, ("ev", 4): 9}
     by_age = {r.hour for r in sizes.hour_bytes(late, F.col("name") == "ev").where("name = 'ev'").collect()}
     assert by_age == {23}
+
+
+def test_files_without_a_valid_day(spark):
+    at = dt.datetime(2024, 5, 20, 3)
+    files = [f("part", D, 3, 5)] + [(n, "", None, None, "p", b, at) for n, b in (("part", 7), ("part", 4), ("whole", 9), ("log", 2))]
+    files = spark.createDataFrame(files, FILES)
+    rows = [("part", "", "event", "/p", "normal", 1, 1, "day"), ("whole", "", "db_export", "/w", "normal", 1, 1, "")]
+    rows += [("log", "", "raw_log", "/l", "normal", 1, 1, "day"), ("fine", "", "event", "/f", "normal", 1, 1, "day")]
+    inventory = spark.createDataFrame(rows, INVENTORY)
+    lost = {("part", 11, "InvalidDay2Files"), ("log", 2, "InvalidDay1Files")}
+    for found in (sizes.daily_sizes(files, inventory, D), sizes.hourly_sizes(files, inventory, D, 3)):
+        got = [(r.name, r.file_bytes, r.status) for r in found.collect()]
+        assert lost == {r for r in got if r[2].startswith("InvalidDay")} and ("part", 5, "normal") in got
+        assert len(got) == len(lost) + found.where("status not like 'InvalidDay%'").select("name").distinct().count()
+
+
+def test_files_without_a_valid_day_hide_no_other_state(spark):
+    from tablewatch.operators import volume
+
+    rows = [("t", "event", "CutOff1Days", ago(1)), ("t", "event", "InvalidDay2Files", D), ("u", "event", "CutOff1Days", D), ("u", "event", "InvalidDay1Files", D)]
+    flag = F.when(F.col("detail").startswith("InvalidDay"), "undated").otherwise("cutoff")
+    report = spark.createDataFrame(rows, "name string, source_kind string, detail string, day date").withColumns(
+        {"flag": flag, "table_bytes": F.lit(1), "queries": F.lit(1)}
+    )
+    got = {(r.name, r.change, r.detail) for r in volume.report_diff(report, D).collect()}
+    assert got == {("t", "recovered", "CutOff1Days"), ("t", "undated", "InvalidDay2Files"), ("u", "new", "CutOff1Days"), ("u", "undated", "InvalidDay1Files")}
