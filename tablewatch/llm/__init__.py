@@ -10,6 +10,7 @@ from tablewatch.llm.packing import op1_best_fit_packing
 from tablewatch.llm.quality import op3_weak_label_quality
 from tablewatch.llm.recompression import op8_recompression_substring_dedup
 from tablewatch.llm.sampling import op2_gumbel_segmentations
+from tablewatch.llm.sizeaware import OP11_SQL, op11_size_aware_join
 from tablewatch.llm.topk import OP6_SQL, op6_pivot_top_k
 from tablewatch.llm.toxicity import op4_subsequence_kernel_toxicity
 
@@ -26,8 +27,9 @@ QUERIES = {
         op8_recompression_substring_dedup,
         op9_minhash_near_dedup,
         op10_order_minhash,
+        op11_size_aware_join,
     )
 }
 
 #: DuckDB SQL for those that SQL can express over whole tables.
-ORACLE: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op6_pivot_top_k": OP6_SQL}
+ORACLE: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op6_pivot_top_k": OP6_SQL, "op11_size_aware_join": OP11_SQL}

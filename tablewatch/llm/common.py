@@ -38,7 +38,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
-    return spark.read.schema(df.schema).parquet(path)
+    again = spark.read.schema(df.schema).parquet(path)
+    again.stored_at = path
+    return again
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove the folders of stored frames that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def text_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
