@@ -88,11 +88,12 @@ def _shared(sets: DataFrame, percent: int) -> DataFrame:
 def _boundary(sets: DataFrame) -> int:
     """The largest size of a small set: the power of two at which subsets and list scans together cost least.
 
-    A set's subsets cost a row each, its scans the lengths of its lists; both are summed by powers of two of the size.
+    A subset costs a row, a place in a list the row and its comparison with the list's hub; both are summed by powers
+    of two of the size.
     """
     subsets = F.size("pairs_from") * (F.size("pairs_from") - 1) / 2
-    scans = F.aggregate("lists", F.lit(0).cast("long"), lambda s, x: s + x["f"])
-    costs = sets.groupBy(F.floor(F.log2("n")).alias("size")).agg(F.sum(subsets).alias("subsets"), F.sum(scans).alias("scans")).collect()
+    sizes = sets.groupBy(F.floor(F.log2("n")).alias("size"))
+    costs = sizes.agg(F.sum(subsets).alias("subsets"), F.sum(F.size("lists") * 2).alias("scans")).collect()
     top = max((r["size"] for r in costs), default=0) + 1
     total = [sum(r["subsets"] if r["size"] < c else r["scans"] for r in costs) for c in range(top + 1)]
     return 2 ** total.index(min(total)) - 1
