@@ -23,7 +23,7 @@ from tablewatch.llm.words import raw_words, shingles, word_ids
 #: Shingles of a subset.
 SUBSET = 2
 #: Of a set's first shingles, beyond those that any pair needs, one more for so many members of the set.
-MORE = 8
+MORE = 12
 #: Neighbours of a hub that one copy of its set serves.
 CHUNK = 256
 
@@ -174,6 +174,8 @@ def similar_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
         F.min("doc_id").alias("low"), F.min(F.struct(*KEY)).alias("first"), F.first("n_shingles").alias("n"), F.first("head").alias("head")
     )
     nodes = stored(nodes.withColumn("num", F.monotonically_increasing_id()), "nodes")
+    of = stored(signed.select("doc_id", "n_shingles", "node"), "of")
+    discard(signed)
 
     heads = nodes.select("num", F.explode("head").alias("item"))
     common = heads.groupBy("item").agg(F.count("*").alias("f")).where("f > 1").select("item")
@@ -214,7 +216,7 @@ def similar_sets(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
     named = stored(named.join(lowest, "root").select("node", "component_id"), "named")
     discard(sets, shared, entries, entries_met, members, stars, links, rooted, more, nodes)
-    out = signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
+    out = of.join(named, "node", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
