@@ -7,6 +7,7 @@ from tablewatch.llm.language import op7_language_bitmask_filters
 from tablewatch.llm.lines import OP5_SQL, op5_line_dedup
 from tablewatch.llm.minhash import op9_minhash_near_dedup
 from tablewatch.llm.packing import op1_best_fit_packing
+from tablewatch.llm.phrases import OP13_SQL, op13_dynamic_phrase_counting
 from tablewatch.llm.quality import op3_weak_label_quality
 from tablewatch.llm.recompression import op8_recompression_substring_dedup
 from tablewatch.llm.sampling import op2_gumbel_segmentations
@@ -28,8 +29,14 @@ QUERIES = {
         op9_minhash_near_dedup,
         op10_order_minhash,
         op11_size_aware_join,
+        op13_dynamic_phrase_counting,
     )
 }
 
 #: DuckDB SQL for those that SQL can express over whole tables.
-ORACLE: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op6_pivot_top_k": OP6_SQL, "op11_size_aware_join": OP11_SQL}
+ORACLE: dict[str, str] = {
+    "op5_line_dedup": OP5_SQL,
+    "op6_pivot_top_k": OP6_SQL,
+    "op11_size_aware_join": OP11_SQL,
+    "op13_dynamic_phrase_counting": OP13_SQL,
+}

@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
     """The frame written to the shared folder and read again: cuts the lineage and survives lost executors.
 
     Nothing reads the shuffles behind it any more, so they are removed at once rather than when the driver frees memory.
@@ -35,7 +35,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.partitionBy(*by).option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     again = spark.read.schema(df.schema).parquet(path)
