@@ -12,6 +12,7 @@ from tablewatch.llm.quality import op3_weak_label_quality
 from tablewatch.llm.recompression import op8_recompression_substring_dedup
 from tablewatch.llm.sampling import op2_gumbel_segmentations
 from tablewatch.llm.sizeaware import OP11_SQL, op11_size_aware_join
+from tablewatch.llm.spelling import OP12_SQL, op12_trie_pair_variants
 from tablewatch.llm.topk import OP6_SQL, op6_pivot_top_k
 from tablewatch.llm.toxicity import op4_subsequence_kernel_toxicity
 
@@ -29,6 +30,7 @@ QUERIES = {
         op9_minhash_near_dedup,
         op10_order_minhash,
         op11_size_aware_join,
+        op12_trie_pair_variants,
         op13_dynamic_phrase_counting,
     )
 }
@@ -38,5 +40,6 @@ ORACLE: dict[str, str] = {
     "op5_line_dedup": OP5_SQL,
     "op6_pivot_top_k": OP6_SQL,
     "op11_size_aware_join": OP11_SQL,
+    "op12_trie_pair_variants": OP12_SQL,
     "op13_dynamic_phrase_counting": OP13_SQL,
 }
