@@ -27,8 +27,10 @@ SHARDS = 4
 SLOTS = 1 << 22
 _MASK = np.uint64(SLOTS - 1)
 _NEVER = np.uint8(255)
-#: Words of a stream that are handled at once, keys that are gathered before they are counted.
+#: Words of a stream that are handled at once; keys that are gathered, or remembered, at once.
 WORDS, KEYS = 1 << 18, 1 << 22
+#: Names of phrases that are handed on at once.
+NAMES = 10_000
 #: Bytes of a text that are split into words at once.
 SLICE = 1 << 20
 
@@ -55,33 +57,29 @@ def lang_key(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"), seed=1))
 
 
-def _streams(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[str], list[bytes], int]]:
-    """Word ids, the key and the name of each word's language, the words, and the number of starts to take, from texts
-    and languages; the last words of a part start the next one, so that no phrase is lost between parts."""
-    words: list[bytes] = []
-    langs: list[tuple[str, int]] = []
-
-    def part(last: bool):
-        names = [n for n, _ in langs]
-        seeds = np.repeat(np.array([lang_key(n) for n in names], np.uint64), [c for _, c in langs])
-        return word_ids(words), seeds, langs, words, len(words) if last else max(len(words) - longest + 1, 0)
-
-    for batch in batches:
-        for text, lang in zip(batch.column(0), batch.column(1)):
-            for found in _word_lists(text.as_py()):
-                words += found
-                langs.append((lang.as_py(), len(found)))
-                if len(words) >= WORDS:
-                    yield part(False)
-                    words = words[-(longest - 1) :] if longest > 1 else []
-                    rest, keep = len(words), []
-                    while rest > 0:
-                        name, n = langs.pop()
-                        keep.append((name, min(n, rest)))
-                        rest -= n
-                    langs = keep[::-1]
-    if words:
-        yield part(True)
+def _words(text: str | None) -> list[bytes]:
+    return [w for found in _word_lists(text) for w in found]
+
+
+def _streams(docs: DataFrame, shards: int) -> DataFrame:
+    """(seed, ids, shard): the key of each text's language and its words, with end marks, as 64-bit numbers."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seeds = np.array([lang_key(n.as_py()) for n in batch.column(1)], np.uint64).view(np.int64)
+            ids = [np.concatenate([word_ids(w) for w in _word_lists(t.as_py())]).tobytes() for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(seeds), pa.array(ids, pa.binary()), batch.column(2)], names=["seed", "ids", "shard"])
+
+    dealt = docs.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int"))
+    return dealt.select("text", "lang", "shard").mapInArrow(read, "seed long, ids binary, shard int")
+
+
+def _parts(ids: np.ndarray, seeds: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
+    """Parts of a stream of bounded size, each with the words that a phrase from its last start needs, and its place and
+    number of starts."""
+    for at in range(0, len(ids), WORDS):
+        to = at + WORDS + longest - 1
+        yield ids[at:to], seeds[at:to], at, WORDS
 
 
 def _phrases(ids: np.ndarray, seeds: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -109,24 +107,27 @@ def _scan(shard: DataFrame, step: int, shards: int, reached, longest: int) -> Da
             tags = np.concatenate([t for _, t in gathered])[at]
             return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(tags), pa.array(n)], names=["key", "tag", "n"])
 
-        for ids, seeds, _, _, starts in _streams(batches, longest):
-            since = np.zeros(len(ids) + 1, np.int16)
-            for k, keys, ok in _phrases(ids, seeds, longest):
-                since = np.maximum(since[: len(keys)], since[1 : len(keys) + 1])
-                active = (ok & (since <= step) & (since + shards > step))[:starts]
-                found = np.flatnonzero(active)
-                if k == 1 and len(found):
-                    gathered.append((seeds[found], np.zeros(len(found), np.int16)))
-                gathered.append((keys[found], since[found] * np.int16(8) + np.int16(k)))
-                size += len(found)
-                since = np.where(ok, slots[keys & _MASK], _NEVER).astype(np.int16)
-            if size >= KEYS:
-                yield counted()
-                gathered, size = [], 0
+        for batch in batches:
+            rows = [np.frombuffer(x.as_py(), np.uint64) for x in batch.column(1)]
+            seeds = batch.column(0).to_numpy().view(np.uint64).repeat([len(x) for x in rows])
+            for ids, seeds, _, starts in _parts(np.concatenate(rows), seeds, longest) if rows else ():
+                since = np.zeros(len(ids) + 1, np.int16)
+                for k, keys, ok in _phrases(ids, seeds, longest):
+                    since = np.maximum(since[: len(keys)], since[1 : len(keys) + 1])
+                    active = (ok & (since <= step) & (since + shards > step))[:starts]
+                    found = np.flatnonzero(active)
+                    if k == 1 and len(found):
+                        gathered.append((seeds[found], np.zeros(len(found), np.int16)))
+                    gathered.append((keys[found], since[found] * np.int16(8) + np.int16(k)))
+                    size += len(found)
+                    since = np.where(ok, slots[keys & _MASK], _NEVER).astype(np.int16)
+                if size >= KEYS:
+                    yield counted()
+                    gathered, size = [], 0
         if size:
             yield counted()
 
-    return shard.select("text", "lang").mapInArrow(count, "key long, tag short, n long")
+    return shard.select("seed", "ids").mapInArrow(count, "key long, tag short, n long")
 
 
 def _slots(keys: DataFrame) -> np.ndarray:
@@ -137,13 +138,14 @@ def _slots(keys: DataFrame) -> np.ndarray:
 
 def frequent(docs: DataFrame, longest: int, least: int, shards: int = SHARDS) -> DataFrame:
     """(key, k, n) of all phrases of up to ``longest`` words with ``least`` or more occurrences, and for k = 0 the number
-    of words of each language. ``docs`` has text, lang and the shard."""
+    of words of each language. ``docs`` has text and lang."""
     spark = docs.sparkSession
+    dealt = stored(_streams(docs, shards), "streams", ("shard",))
     slots = np.full(SLOTS, _NEVER)
     state, step, last = None, 0, 0
     while step < last + shards:
         reached = spark.sparkContext.broadcast(slots.tobytes())
-        new = _scan(docs.where(F.col("shard") == step % shards), step, shards, reached, longest)
+        new = _scan(dealt.where(F.col("shard") == step % shards), step, shards, reached, longest)
         both = new if state is None else state.unionByName(new)
         both = both.groupBy("key").agg(F.min("tag").alias("tag"), F.sum("n").alias("n"))
         # what has been counted for a full cycle and has not reached the threshold goes
@@ -159,6 +161,7 @@ def frequent(docs: DataFrame, longest: int, least: int, shards: int = SHARDS) ->
         if len(found):
             slots[found] = step
             last = step
+    discard(dealt)
     return state.where(F.col("n") >= least).select("key", F.col("tag").bitwiseAND(F.lit(7)).cast("int").alias("k"), "n")
 
 
@@ -168,20 +171,31 @@ def _named(docs: DataFrame, slots, longest: int) -> DataFrame:
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         taken = np.frombuffer(slots.value, np.uint8) != _NEVER
-        seen = np.empty(0, np.uint64)
-        for ids, seeds, langs, words, starts in _streams(batches, longest):
-            of = np.repeat(np.arange(len(langs)), [n for _, n in langs])
-            for k, keys, ok in _phrases(ids, seeds, longest):
-                if k == 1:
-                    continue
-                at = np.flatnonzero((ok & taken[keys & _MASK])[:starts])
-                new, first = np.unique(keys[at], return_index=True)
-                fresh = ~np.isin(new, seen, assume_unique=True)
-                new, at = new[fresh], at[first[fresh]]
-                seen = new if len(seen) > KEYS else np.concatenate([seen, new])
-                names = pa.array([langs[i][0] for i in of[at].tolist()], pa.string())
-                lists = pa.array([words[i : i + k] for i in at.tolist()], pa.list_(pa.binary()))
-                yield pa.RecordBatch.from_arrays([pa.array(new.view(np.int64)), names, lists], names=["key", "lang", "words"])
+        seen: set[int] = set()
+        out: list[tuple[int, str, list[bytes]]] = []
+
+        def named() -> pa.RecordBatch:
+            types = [pa.int64(), pa.string(), pa.list_(pa.binary())]
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=["key", "lang", "words"])
+
+        for batch in batches:
+            for text, lang in zip(batch.column(0), batch.column(1)):
+                words, lang = _words(text.as_py()), lang.as_py()
+                whole = word_ids(words)
+                for ids, seeds, place, starts in _parts(whole, np.full(len(words), lang_key(lang)), longest):
+                    for k, keys, ok in _phrases(ids, seeds, longest):
+                        if k > 1:
+                            at = np.flatnonzero((ok & taken[keys & _MASK])[:starts])
+                            for key, i in zip(keys[at].view(np.int64).tolist(), (at + place).tolist()):
+                                if key not in seen:
+                                    seen.add(key)
+                                    out.append((key, lang, words[i : i + k]))
+            if len(out) >= NAMES:
+                yield named()
+                out = []
+            if len(seen) >= KEYS:
+                seen.clear()
+        yield named()
 
     return docs.select("text", "lang").mapInArrow(name, schema)
 
@@ -218,16 +232,14 @@ def collocations(docs: DataFrame, longest: int = 5, least: int = 100, share: int
     occurrences are dropped. A null language is ``und``; null and empty texts have no words; repeated rows count again.
     Without candidates, or rows, the result is empty. ``top`` limits the report to the first rows of a language.
     """
-    dealt = docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    dealt = stored(dealt.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")), "shards", ("shard",))
-    counts = frequent(dealt, longest, least, shards)
+    docs = docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
+    counts = frequent(docs, longest, least, shards)
     slots = np.full(SLOTS, _NEVER)
     slots[_slots(counts)] = 0
     taken = docs.sparkSession.sparkContext.broadcast(slots.tobytes())
     longer = counts.where("k > 1").select("key", F.col("n").alias("a"))
-    named = stored(_named(dealt, taken, longest).join(longer, "key").dropDuplicates(["key"]), "named")
+    named = stored(_named(docs, taken, longest).join(longer, "key").dropDuplicates(["key"]), "named")
     taken.destroy()
-    discard(dealt)
     cuts = stored(_cuts(named, longest), "cuts")
 
     number = lambda name, key: counts.select(F.col("key").alias(key), F.col("n").alias(name))
