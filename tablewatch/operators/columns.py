@@ -164,8 +164,10 @@ TABLE_ATTRIBUTES = (
 
 
 def profile_config(catalog: DataFrame, run: str | None = None) -> DataFrame:
-    """One row per table with its attributes, its columns by class and its run, smallest first."""
-    config = column_sets(catalog, TABLE_ATTRIBUTES).withColumn("run_flag", run_flag())
+    """One row per table with its attributes, its columns by class, its run and, if the catalog has it, the day to
+    read, smallest first."""
+    keys = (*TABLE_ATTRIBUTES, *(c for c in ("read_day",) if c in catalog.columns))
+    config = column_sets(catalog, keys).withColumn("run_flag", run_flag())
     if run is not None:
         config = config.where(F.col("run_flag") == run)
     return config.orderBy("day_bytes", "name")

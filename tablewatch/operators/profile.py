@@ -7,11 +7,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DataType, DateType, NumericType, StringType
+from pyspark.sql.types import BooleanType, DataType, DateType, IntegralType, NumericType, StringType
 from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
 
 from ..functions.rules import as_date
-from .columns import TableProfile, table_profile
+from .columns import CLASSES, TableProfile, table_profile
 
 DIMENSION, METRICS = "dimension", "metrics"
 
@@ -42,6 +42,11 @@ def _not_positive(c: Column, kind: DataType) -> Column:
     return F.lit(False)
 
 
+def _total(c: Column, kind: DataType) -> Column:
+    """The sum of a measure; whole numbers add up as decimals, which no table is large enough to overflow."""
+    return F.sum(c.cast("decimal(20,0)") if isinstance(kind, IntegralType) else c)
+
+
 def column_metrics(name: str, column_class: str, kind: DataType) -> list[Metric]:
     """Metrics of one column, by class and type. Numeric results are exact or rounded."""
     c = F.col(name)
@@ -57,9 +62,10 @@ def column_metrics(name: str, column_class: str, kind: DataType) -> list[Metric]
         missing = _default_text(c) if column_class == "string_id" else c.isNull() | _not_positive(c, kind)
         return [made("_num_poly3", F.count_if(missing)), made("_rate_poly3", _rate(missing))]
     if column_class == "values":
-        mean = F.round(F.try_divide(F.sum(c).cast("double"), F.count_if(c != 0)), 2)
+        total = _total(c, kind)
+        mean = F.round(F.try_divide(total.cast("double"), F.count_if(c != 0)), 2)
         return [
-            made("_sum_poly1", F.coalesce(F.sum(c), F.lit(0).cast(kind))),
+            made("_sum_poly1", F.coalesce(total, F.lit(0))),
             made("_avg_poly1", F.coalesce(mean, F.lit(0.0))),
         ]
     if column_class == "attributes":
@@ -134,9 +140,10 @@ def profile_long(
 
 
 def profile_table(
-    df: DataFrame, plan: TableProfile, as_of, read_day=None, day: str = "day", chunk: int = 80
+    df: DataFrame, plan: TableProfile, as_of, read_day=None, day: str = "day", chunk: int = 80, empty: bool = True
 ) -> DataFrame:
-    """Long profile of one table on one day. An empty day still gives ``row_num = 0``.
+    """Long profile of one table on one day. An empty day still gives ``row_num = 0``, unless ``empty`` is false: of a
+    table with dimensions that takes a second, bare count, which ``empty_tables`` does without from stored rows.
 
     ``read_day`` is the partition to read where it differs from the as-of day; tables without a
     day column are read whole.
@@ -144,10 +151,10 @@ def profile_table(
     target = as_of if read_day is None else read_day
     rows = df.where(F.col(day) == as_date(target)) if day in df.columns else df
     out = profile_long(rows, plan.classes, plan.dims, (), chunk)
-    if plan.dims:
-        empty = rows.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 0)
+    if plan.dims and empty:
+        none = rows.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 0)
         out = out.unionByName(
-            empty.select(
+            none.select(
                 F.lit("").alias(DIMENSION), F.lit("row_num").alias("metric"),
                 F.lit("rows").alias("metric_class"), F.lit(0.0).alias("value"),
             )
@@ -185,6 +192,59 @@ def profile_all(
     return with_attributes(reduce(DataFrame.unionByName, parts), config, as_of, run)
 
 
+@dataclass(frozen=True)
+class RunPlan:
+    """What a run does with one table."""
+
+    profile: TableProfile
+    read_day: object = None
+
+
+def run_plans(
+    tables: dict[str, DataFrame], config: DataFrame, run: str, partitions: dict[str, tuple[str, ...]] | None = None
+) -> dict[str, RunPlan]:
+    """Plans of the tables that the stored configuration puts into a run: classes, application and day to read.
+
+    The configuration has one row per table; only the rows of ``tables`` come to the driver. Columns it does not have
+    are made up for: without ``run_flag`` all tables are in the run, without lists of columns these are classified by
+    the application's rules, without ``read_day`` the as-of day is read. Listed columns that a table lacks by now, its
+    day and its ``partitions`` are not profiled.
+    """
+    known = config.where(F.col("name").isin(list(tables)))
+    if "run_flag" in config.columns:
+        known = known.where(F.col("run_flag") == run)
+    plans = {}
+    for row in known.collect():
+        row, schema = row.asDict(), tables[row["name"]].schema
+        skip = ("day", *(partitions or {}).get(row["name"], ()))
+        listed = {c: k for k in CLASSES for c in row.get(k) or () if c in schema.names and c not in skip}
+        if any(k in row for k in CLASSES):
+            found = TableProfile(listed, sorted(c for c, k in listed.items() if k == "main_dimension"))
+        else:
+            found = table_profile(schema, row.get("app_name") or "", skip=skip)
+        plans[row["name"]] = RunPlan(found, row.get("read_day"))
+    return plans
+
+
+def profile_planned(tables: dict[str, DataFrame], plans: dict[str, RunPlan], as_of) -> DataFrame:
+    """Metric rows of planned tables, one scan for each; tables without rows on their day may have none."""
+    parts = [
+        profile_table(tables[name], plan.profile, as_of, plan.read_day, empty=False).withColumn("name", F.lit(name))
+        for name, plan in plans.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def empty_tables(metrics: DataFrame, names: list[str]) -> DataFrame:
+    """``row_num = 0`` for each of the names without a row. ``metrics`` is read once more, so it should be stored."""
+    spark = metrics.sparkSession
+    asked = spark.createDataFrame([(n,) for n in names], "name string")
+    return asked.join(metrics.select("name").distinct(), "name", "left_anti").select(
+        F.lit("").alias(DIMENSION), F.lit("row_num").alias("metric"), F.lit("rows").alias("metric_class"),
+        F.lit(0.0).alias("value"), "name",
+    )
+
+
 def with_attributes(metrics: DataFrame, config: DataFrame, as_of, run: str) -> DataFrame:
     """Add table attributes (one row per table) and the partition the rows belong to."""
     keep = ["app_name", "owner", "partition_keys", "table_bytes", "queries", "day_bytes", "downstream"]

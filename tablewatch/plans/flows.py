@@ -14,7 +14,7 @@ from ..functions.rules import MIB, as_date
 from ..operators import metrics, volume
 from ..operators.columns import column_catalog, profile_config
 from ..operators.inventory import attach_status, build_inventory
-from ..operators.profile import profile_all
+from ..operators.profile import DIMENSION, empty_tables, profile_planned, run_plans, with_attributes
 from ..operators.report import metric_lines, volume_lines
 from ..operators.sizes import cutoff_table, daily_sizes, hourly_sizes
 from ..sources.tables import days_between, read_table, write_partitions
@@ -65,7 +65,7 @@ def watch_volumes(
     **thresholds,
 ) -> DataFrame:
     """Measure the day, judge it by its history, store both and return the report lines."""
-    sizes = keep(daily_sizes(files, inventory, as_of, registry), store, "daily_sizes", ["day"])
+    sizes = keep(daily_sizes(files, inventory, as_of, registry), store, "daily_sizes", ["day"], day=as_of)
     cutoffs = keep(cutoff_table(until(sizes, as_of, 0)), store, "cutoffs", ["day"], day=as_of)
     history = volume.volume_history(until(sizes, as_of, 10), as_of, whitelist=whitelist)
     judged = volume.with_evidence(volume.score_volumes(history), as_of, min_bytes=min_bytes)
@@ -87,10 +87,10 @@ def watch_hour(
     min_bytes: int = MIB,
 ) -> DataFrame:
     """Measure one hour, judge it by the same hour of the days before, store both."""
-    sizes = keep(hourly_sizes(files, inventory, as_of, hour), store, "hourly_sizes", ["day", "hour"])
+    sizes = keep(hourly_sizes(files, inventory, as_of, hour), store, "hourly_sizes", ["day", "hour"], day=as_of, hour=hour)
     history = volume.volume_history(until(sizes, as_of, 10), as_of, hour, whitelist=whitelist)
     judged = volume.with_evidence(volume.score_volumes(history), as_of, hour, min_bytes)
-    anomalies = keep(judged, store, "hourly_anomalies", ["day", "hour"])
+    anomalies = keep(judged, store, "hourly_anomalies", ["day", "hour"], day=as_of, hour=hour)
     return until(anomalies, as_of, 0).where(F.col("hour") == hour)
 
 
@@ -106,7 +106,7 @@ def describe_columns(
 ) -> DataFrame:
     """Store the column catalog of the day and return the profile configuration made from it."""
     found = column_catalog(tables, catalog, columns, edges, trend, day_sizes, as_of)
-    return profile_config(until(keep(found, store, "column_catalog", ["day"]), as_of, 0))
+    return profile_config(until(keep(found, store, "column_catalog", ["day"], day=as_of), as_of, 0))
 
 
 def profile_run(
@@ -115,26 +115,32 @@ def profile_run(
     config: DataFrame,
     as_of,
     run: str,
-    apps: dict[str, str] | None = None,
-    read_days_of: dict[str, object] | None = None,
     group: int = 50,
     partitions: dict[str, tuple[str, ...]] | None = None,
 ) -> DataFrame:
-    """Profile the tables of one run into its (day, run_flag) partition; returns the metric history.
+    """Profile the tables that the configuration puts into a run into its (day, run_flag) partition; returns the metric
+    history.
 
-    One job covers ``group`` tables, which bounds the plan however many tables there are. Parts are
-    stored first and then replace the run's partition together.
+    The configuration also says which application's rules hold, which columns are of which class and which day to
+    read. One job covers ``group`` tables, which bounds the plan however many tables there are. Parts are
+    stored first and then replace the run's partition together; from them it is seen which tables had no row.
     """
-    names = list(tables)
-    if not names:
+    if not tables:
         raise ValueError(f"no tables to profile in run {run!r}")
-    groups = [names[i : i + group] for i in range(0, len(names), group)]
-    for i, part in enumerate(groups):
-        chosen = {n: tables[n] for n in part}
-        rows = profile_all(chosen, config, as_of, run, apps, read_days_of, partitions).withColumn("part", F.lit(i))
-        parts = keep(rows, store, "metric_parts", ["day", "run_flag", "part"])
-    mine = until(parts, as_of, 0).where((F.col("run_flag") == run) & (F.col("part") < len(groups)))
-    return keep(mine.drop("part"), store, "metric_history", ["day", "run_flag"], day=as_of, run_flag=run)
+    plans = run_plans(tables, config, run, partitions)
+    names = sorted(plans)
+    schema = f"{DIMENSION} string, metric string, metric_class string, value double, name string"
+    parts = tables[next(iter(tables))].sparkSession.createDataFrame([], f"{schema}, day date, run_flag string, part int")
+    for i in range(0, len(names), group):
+        chosen = {n: plans[n] for n in names[i : i + group]}
+        rows = profile_planned(tables, chosen, as_of).select(
+            "*", as_date(as_of).alias("day"), F.lit(run).alias("run_flag"), F.lit(i // group).alias("part")
+        )
+        parts = keep(rows, store, "metric_parts", ["day", "run_flag", "part"], day=as_of, run_flag=run, part=i // group)
+    mine = until(parts, as_of, 0).where((F.col("run_flag") == run) & (F.col("part") < -(-len(names) // group)))
+    mine = mine.select(DIMENSION, "metric", "metric_class", "value", "name")
+    mine = with_attributes(mine.unionByName(empty_tables(mine, names)), config, as_of, run)
+    return keep(mine, store, "metric_history", ["day", "run_flag"], day=as_of, run_flag=run)
 
 
 def watch_metrics(

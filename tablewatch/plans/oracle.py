@@ -94,6 +94,10 @@ DIMS = {
 }
 
 
+CELLS["dw_sales"] = CELLS["sales"] | {f"{c}_rate_poly3": ("attributes", rate(unset(c))) for c in ("os", "area")}
+DIMS["dw_sales"] = "''"
+
+
 def long_profile(fact: str, by: str = "") -> str:
     cells = CELLS[fact]
     keys = f"{by}, dimension" if by else "dimension"
@@ -108,6 +112,10 @@ def long_profile(fact: str, by: str = "") -> str:
     )
 
 
+def on_day(fact: str, table: str, day: str) -> str:
+    return long_profile(fact).replace(f"FROM {fact} ", f"FROM {table} WHERE {day} ")
+
+
 def sums(value: str, only: str, index: str = "i") -> str:
     y = f"CASE WHEN {only} THEN CAST({value} AS DOUBLE) END"
     iy = f"CASE WHEN {only} THEN CAST({index} AS DOUBLE)*CAST({value} AS DOUBLE) END"
@@ -453,6 +461,12 @@ LAUNCH = shared_metrics("launched")
 STORE = shared_metrics("store")
 DAILY_FRESH = {"fresh": CTE["fresh"].replace("ASOF", "2024-01-30"), "daily": CTE["daily"]}
 
+RERUNS = sql(
+    """SELECT day, dimension, CASE WHEN run_flag='else' THEN value+1 WHEN year(day)=1995 THEN value*2 ELSE value END AS value,
+         run_flag, RUN_DAY AS run_day
+       FROM store, (SELECT unnest(['early','else']) AS run_flag) WHERE metric='row_num' AND NOT (run_flag='else' AND year(day)=1996)""",
+    "sales", "store")
+
 ORACLE: dict[str, str] = {
     "norm_name": """SELECT p_partkey, trim(lower(p_brand||'.'||p_type)) AS name, trim(lower(p_name)) AS bare FROM part""",
     "exclude_names": sql(
@@ -576,14 +590,19 @@ ORACLE: dict[str, str] = {
             WHERE NOT (update_clock<'07:00:00' OR lower(partition_keys) LIKE '%hour%') GROUP BY name, owner, update_clock, day_bytes""",
         "parts", "pcolumns"),
     "profile_orders": sql(
-        "SELECT area, os, " + ", ".join(f"{e} AS {m}" for m, (_, e) in CELLS["sales"].items()) + " FROM sales GROUP BY area, os",
+        "SELECT area, os, " + ", ".join(
+            f"CAST({e} AS DOUBLE) AS {m}" if m.endswith("_sum_poly1") else f"{e} AS {m}" for m, (_, e) in CELLS["sales"].items()
+        ) + ", CAST(sum(total_amount::HUGEINT*68719476736) AS DOUBLE) AS gross_amount_sum_poly1, "
+        # too large for decimals to be cut
+        "coalesce(CAST(sum(total_amount::HUGEINT*68719476736) AS DOUBLE)/nullif(count(*) FILTER (WHERE total_amount<>0),0),0) "
+        "AS gross_amount_avg_poly1 FROM sales GROUP BY area, os",
         "sales"),
     "profile_customer_ids": f"""SELECT count(*) AS row_num,
         count(*) FILTER (WHERE c_custkey>0) AS c_custkey_num_poly2, {rate('c_custkey>0')} AS c_custkey_rate_poly2,
         count(*) FILTER (WHERE {unset('c_name')}) AS c_name_num_poly3, {rate(unset('c_name'))} AS c_name_rate_poly3,
         count(*) FILTER (WHERE c_nationkey IS NULL OR c_nationkey<=0) AS c_nationkey_num_poly3,
         {rate('c_nationkey IS NULL OR c_nationkey<=0')} AS c_nationkey_rate_poly3,
-        CAST(sum(balance) AS BIGINT) AS balance_sum_poly1, {avg2('balance')} AS balance_avg_poly1,
+        CAST(sum(balance) AS DOUBLE) AS balance_sum_poly1, {avg2('balance')} AS balance_avg_poly1,
         {rate(unset('c_mktsegment'))} AS c_mktsegment_rate_poly3, {rate('c_acctbal<=0')} AS c_acctbal_rate_poly3
         FROM (SELECT *, CAST(round(c_acctbal*100) AS BIGINT) AS balance FROM customer)""",
     "melt_lineitem": sql(long_profile("items"), "items"),
@@ -595,6 +614,15 @@ ORACLE: dict[str, str] = {
             JOIN (SELECT CASE o_orderstatus WHEN 'F' THEN 'shop.sales' WHEN 'O' THEN 'shop.items' ELSE 'app.actions' END AS name,
               count(*) AS table_bytes FROM orders GROUP BY 1) c USING (name)""",
         "items", "sales", "actions"),
+    "profile_by_config": sql(
+        f"""SELECT split_part(name,'.',1) AS app_name, name, 'ann' AS owner, 'day' AS partition_keys,
+              (SELECT count(*) FROM orders) AS table_bytes, 3 AS queries, 10 AS day_bytes, 'bob' AS downstream,
+              dimension, metric, metric_class, value, DATE '1997-03-01' AS day, run_flag
+            FROM (SELECT 'shop.sales' AS name, 'early' AS run_flag, * FROM ({on_day('sales', 'sales', "date_trunc('month',day)=DATE '1997-03-01'")})
+              UNION ALL SELECT 'dw.sales', 'early', * FROM ({on_day('dw_sales', 'sales', "date_trunc('month',day)=DATE '1997-03-01'")})
+              UNION ALL SELECT 'app.actions', 'early', '', 'row_num', 'rows', 0e0
+              UNION ALL SELECT 'shop.items', 'else', * FROM ({on_day('items', 'items', "last_day(day)=DATE '1997-02-28'")}))""",
+        "items", "sales"),
     "dimension_keys": sql(
         """SELECT 'area:'||area||',os:'||coalesce(CASE WHEN total_amount>=2000000 THEN os END,'null') AS dimension,
            count(*) AS row_num FROM sales GROUP BY 1""", "sales"),
@@ -748,6 +776,17 @@ ORACLE: dict[str, str] = {
           o_orderstatus||' (sum)' AS label, CAST({r2('v/1024e0')} AS VARCHAR)||' times the expected value' AS ratio,
           array_to_string(list_sort([o_orderpriority, o_orderstatus, 'b', 'a'])[1:3], ',') AS users
         FROM (SELECT *, CAST(round(o_totalprice*100) AS BIGINT) AS v, o_orderkey*CAST(round(o_totalprice*100) AS BIGINT) AS b FROM orders)""",
+    "inventory_files": """SELECT 'events' AS name, CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS n, true AS filled, true AS orc
+        FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-21' AND DATE '2024-01-30' GROUP BY 2""",
+    "string_days": """SELECT event_id, user_id, strftime(ts,'%Y-%m-%d') AS day FROM events
+        WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-30' AND user_id%10 NOT IN (0,1)""",
+    "partition_gaps": sql(
+        """SELECT e.name, e.day, CASE WHEN f.name IS NULL THEN 'absent' ELSE 'empty' END AS gap
+           FROM (SELECT DISTINCT name, CAST(d AS DATE) AS day FROM watched, range(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY) r(d)) e
+           LEFT JOIN (SELECT name, day, sum(CASE WHEN dayofmonth(day)%7=0 THEN 0 ELSE length END) AS bytes FROM files GROUP BY name, day) f
+             ON f.name=e.name AND f.day=e.day WHERE coalesce(f.bytes,0)=0""", "files", "watched"),
+    "partition_switch": RERUNS.replace("RUN_DAY", "CAST(date_trunc('year', day) AS DATE)"),
+    "catalog_rerun": RERUNS.replace("RUN_DAY", "strftime(date_trunc('year', day),'%Y-%m-%d')"),
     "partition_rerun": sql(
         """SELECT day, dimension, value*2 AS value, 'early' AS run_flag FROM store WHERE metric='row_num'
            AND date_trunc('year', day) BETWEEN DATE '1996-01-01' AND DATE '2001-01-01'""", "sales", "store"),

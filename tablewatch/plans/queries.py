@@ -11,15 +11,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, StructType
 
 from ..functions import names, rules, text
 from ..functions.bands import VOLUME, add_bands, rolling_sums
 from ..operators import columns, inventory, metrics, profile, report, sizes, usage, volume
 from ..session import shared_dir
-from ..sources.files import describe_files, list_files
-from ..sources.tables import days_between, read_days, read_list, write_partitions
-from . import feeds
+from ..sources.files import describe_files, stored_files
+from ..sources.files import partition_gaps as find_gaps
+from ..sources.tables import days_between, overwrite_table, read_days, read_list, read_table, write_partitions
+from . import feeds, flows
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -29,6 +30,7 @@ EVENT_DAYS = 29
 SALES_DAY = feeds.LAUNCH_DAY
 SALES_DAYS = 2500
 GAP_DAY = "2001-07-20"
+PROFILE_DAY = "1997-03-01"
 MIN_BYTES = 1000
 
 
@@ -237,11 +239,17 @@ def profile_config(spark, sf):
 # --- profiles
 
 
+def _as_doubles(df):
+    """Exact sums as the metric history keeps them."""
+    return df.select(*[F.col(f.name).cast("double") if isinstance(f.dataType, DecimalType) else f.name for f in df.schema])
+
+
 @query
 def profile_orders(spark, sf):
-    s = feeds.sales(spark, sf)
+    """Order metrics by area and system; one measure is so large that its sums pass 64 bits."""
+    s = feeds.sales(spark, sf).withColumn("gross_amount", F.col("total_amount") * 2**36)
     classes = columns.classify_schema(s.schema, skip=("day",))
-    return profile.profile(s, classes, ["os", "area"])
+    return _as_doubles(profile.profile(s, classes, ["os", "area"]))
 
 
 @query
@@ -251,7 +259,7 @@ def profile_customer_ids(spark, sf):
         "c_custkey": "uid", "c_name": "string_id", "c_nationkey": "num_id",
         "balance": "values", "c_mktsegment": "attributes", "c_acctbal": "attributes",
     }
-    return profile.profile(c, classes)
+    return _as_doubles(profile.profile(c, classes))
 
 
 @query
@@ -279,6 +287,33 @@ def profile_tables(spark, sf):
     return profile.profile_all(tables, config, SALES_DAY, "early")
 
 
+@query
+def profile_by_config(spark, sf):
+    """Two runs as the configuration has them: an early table, one of the warehouse's own application, one without rows
+    on the day, and in the later run one that is read a day behind."""
+    store = f"{shared_dir(spark)}/tablewatch/{uuid.uuid4().hex}"
+    sales = feeds.sales(spark, sf).withColumn("day", F.trunc("day", "month"))
+    tables = {
+        "shop.sales": sales,
+        "dw.sales": sales,
+        "app.actions": feeds.actions(spark, sf),
+        "shop.items": feeds.items(spark, sf).withColumn("day", F.last_day("day")),
+    }
+    schemas = [(n, n.split(".")[0], f.name, f.dataType.simpleString()) for n, df in tables.items() for f in df.schema]
+    listed = spark.createDataFrame(schemas, "name string, app_name string, column_name string, column_type string")
+    behind = F.col("name") == "shop.items"
+    catalog = sales.agg(F.count("*").alias("table_bytes")).join(listed).select(
+        "name", "app_name", F.lit("ann").alias("owner"), F.lit("day").alias("partition_keys"), "table_bytes",
+        F.when(behind, "09:00:00").otherwise("06:00:00").alias("update_clock"), F.lit(3).alias("queries"),
+        F.lit(10).alias("day_bytes"), F.lit("bob").alias("downstream"), "column_name", "column_type",
+        F.date_sub(F.lit(PROFILE_DAY).cast("date"), behind.cast("int")).alias("read_day"),
+    )
+    config = columns.profile_config(catalog)
+    for run in ("early", "else"):
+        history = flows.profile_run(store, tables, config, PROFILE_DAY, run, group=2)
+    return history
+
+
 @query
 def dimension_keys(spark, sf):
     """Dimension text with missing values: small orders have no status."""
@@ -602,12 +637,76 @@ def format_report(spark, sf):
 # --- sources and sinks
 
 
+def _stored_events(spark, sf, day, place="events"):
+    """The events as a stored table by day."""
+    where = f"{shared_dir(spark)}/tablewatch/{uuid.uuid4().hex}/{place}"
+    rows = feeds.table(spark, sf, "events").select("event_id", "user_id", "value", day.alias("day"))
+    write_partitions(rows, where, ["day"])
+    return where
+
+
 @query
 def inventory_files(spark, sf):
-    """The supplied files themselves, by name and size."""
-    f = list_files(spark, sf)
-    stem = F.regexp_extract("path", "([^/]+)\\.parquet", 1)
-    return f.select(stem.alias("name"), F.col("length")).groupBy("name").agg(F.sum("length").alias("bytes"))
+    """Files of a table stored by day as its rows tell them: the last ten days, with their number of rows."""
+    where = _stored_events(spark, sf, F.to_date("ts"))
+    found = stored_files(read_days(spark, where, EVENT_DAY[:8] + "21", EVENT_DAY))
+    return found.groupBy("name", "day").agg(
+        F.sum("rows").alias("n"), F.bool_and(F.col("length") > 0).alias("filled"),
+        F.bool_and(F.col("path").endswith(".orc")).alias("orc"),
+    )
+
+
+@query
+def string_days(spark, sf):
+    """Rows of a range of days of a table whose days are text, some of it no day."""
+    day = F.date_format("ts", "yyyy-MM-dd")
+    where = _stored_events(spark, sf, F.when(F.col("user_id") % 10 == 0, "tmp").when(F.col("user_id") % 10 == 1, F.concat(day, F.lit("x"))).otherwise(day))
+    schema = "event_id bigint, user_id bigint, value double, day string"
+    return read_days(spark, where, "2024-01-05", EVENT_DAY, schema=schema).select("event_id", "user_id", "day")
+
+
+@query
+def partition_gaps(spark, sf):
+    """Days on which a table should have a partition and has none, or one without bytes."""
+    known = feeds.files(spark, sf).withColumn("length", F.when(F.dayofmonth("day") % 7 == 0, 0).otherwise(F.col("length")))
+    return find_gaps(known, feeds.watched(spark, sf), "2024-01-01", EVENT_DAY)
+
+
+def _two_runs(spark, sf):
+    """Row counts of the sales by area and system as two runs, with a day for each year."""
+    rows = feeds.sales_metrics(spark, sf).where("metric = 'row_num'").withColumn("run_day", F.trunc("day", "year"))
+    other = rows.withColumn("run_flag", F.lit("else")).withColumn("value", F.col("value") + 1)
+    return rows.unionByName(other).select("day", "dimension", "value", "run_flag", "run_day")
+
+
+@query
+def partition_switch(spark, sf):
+    """Reruns of one day and run: one reads what it replaces, one has no rows; the other runs stay."""
+    where = f"{shared_dir(spark)}/tablewatch/{uuid.uuid4().hex}/metric_history"
+    by, schema = ["run_day", "run_flag"], _two_runs(spark, sf).schema
+    write_partitions(_two_runs(spark, sf), where, by)
+    again = read_table(spark, where, schema=schema).where("run_day = '1995-01-01' and run_flag = 'early'")
+    write_partitions(again.withColumn("value", F.col("value") * 2), where, by, own={"run_day": "1995-01-01", "run_flag": "early"})
+    none = _two_runs(spark, sf).where("value < 0")
+    write_partitions(none, where, by, own={"run_day": "1996-01-01", "run_flag": "else"})
+    return read_table(spark, where, schema=schema)
+
+
+@query
+def catalog_rerun(spark, sf):
+    """The same with a table of the catalog, whose entry is pointed at the new rows."""
+    name = f"tablewatch_{uuid.uuid4().hex}"
+    where = f"{shared_dir(spark)}/tablewatch/{name}"
+    first = _two_runs(spark, sf).withColumn("run_day", F.col("run_day").cast("string"))
+    spark.sql(
+        f"create table {name} (day date, dimension string, value double, run_flag string, run_day string) "
+        f"using parquet partitioned by (run_day, run_flag) location '{where}'"
+    )
+    overwrite_table(first, name)
+    again = spark.table(name).where("run_day = '1995-01-01' and run_flag = 'early'")
+    overwrite_table(again.withColumn("value", F.col("value") * 2), name, {"run_day": "1995-01-01", "run_flag": "early"})
+    overwrite_table(first.where("value < 0"), name, {"run_day": "1996-01-01", "run_flag": "else"})
+    return spark.table(name)
 
 
 @query

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import in_progress, partition_value, strip_scheme, table_segment
+from ..functions.rules import as_date
 
 
 def describe_files(listing: DataFrame) -> DataFrame:
@@ -45,6 +46,38 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     return describe_files(listing)
 
 
+def stored_files(table: DataFrame) -> DataFrame:
+    """One row per file of the rows of a stored table, with its number of rows, as ``describe_files`` shows them.
+
+    Restrict the table to the days wanted before: the directories of other days are then never listed, and no column
+    is read. Rows combine in the tasks that scan them, so the shuffle carries a row for each file. Files without rows
+    do not show; ``expected_partitions`` tells what has none.
+    """
+    info = {"path": "file_path", "length": "file_size", "modificationTime": "file_modification_time"}
+    files = table.groupBy(*(F.col(f"_metadata.{c}").alias(n) for n, c in info.items())).agg(F.count("*").alias("rows"))
+    described = describe_files(files.drop("rows"))
+    return described.join(files.select(strip_scheme("path").alias("path"), "rows"), "path")
+
+
+def expected_partitions(tables: DataFrame, day_from, day_to, hourly: bool = False) -> DataFrame:
+    """(name, day) or (name, day, hour) of every partition that the named tables should have in a range of days."""
+    days = F.explode(F.sequence(as_date(day_from), as_date(day_to)))
+    rows = tables.select("name").distinct().select("name", days.alias("day"))
+    return rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")) if hourly else rows
+
+
+def partition_gaps(files: DataFrame, tables: DataFrame, day_from, day_to, hourly: bool = False) -> DataFrame:
+    """Expected partitions without bytes: ``empty`` where only files without bytes are there, ``absent`` without files.
+
+    Neither the catalog nor a listing of directories is needed, so one job covers all tables.
+    """
+    keys = ["name", "day", *(["hour"] if hourly else [])]
+    there = files.groupBy(*keys).agg(F.sum("length").alias("bytes"))
+    asked = expected_partitions(tables, day_from, day_to, hourly)
+    found = asked.join(there, keys, "left").where(F.coalesce("bytes", F.lit(0)) == 0)
+    return found.select(*keys, F.when(F.col("bytes").isNull(), "absent").otherwise("empty").alias("gap"))
+
+
 def partition_registry(spark: SparkSession, table: str, name: str | None = None) -> DataFrame:
     """Partitions the catalog knows, empty ones included, which no file listing shows."""
     path = F.concat(F.lit("/"), F.col("partition"))

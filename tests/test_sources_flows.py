@@ -1,12 +1,13 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
 from tablewatch.plans import flows
 from tablewatch.session import shared_dir
-from tablewatch.sources.files import list_files, partition_registry
+from tablewatch.sources.files import expected_partitions, list_files, partition_gaps, partition_registry, stored_files
 from tablewatch.sources.tables import overwrite_table, read_days, read_list, write_partitions
 
 DAY = dt.date(2024, 5, 20)
@@ -58,6 +59,73 @@ def test_empty_rerun_leaves_nothing_behind(spark, tmp_path, rows):
     assert rows(read_days(spark, path, DAY, DAY), "value", "run_flag") == [(1, "early"), (2, "else")]
 
 
+def test_failed_rerun_keeps_the_former_rows(spark, tmp_path, rows):
+    path, own = str(tmp_path / "f"), {"day": DAY, "run_flag": "early"}
+    df = spark.createDataFrame([(1, DAY, "early"), (2, DAY, "else")], "value int, day date, run_flag string")
+    write_partitions(df, path, ["day", "run_flag"])
+    broken = df.where("run_flag = 'early'").withColumn("value", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        write_partitions(broken, path, ["day", "run_flag"], own=own)
+    with pytest.raises(Exception, match="a row is not of run_flag=early"):
+        write_partitions(df, path, ["day", "run_flag"], own=own)
+    with pytest.raises(ValueError, match="leading columns"):
+        write_partitions(df, path, ["day", "run_flag"], own={"run_flag": "early"})
+    assert rows(read_days(spark, path, DAY, DAY), "value", "run_flag") == [(1, "early"), (2, "else")]
+    # a rerun may read what it replaces
+    mine = read_days(spark, path, DAY, DAY).where("run_flag = 'early'").withColumn("value", F.col("value") + 10)
+    write_partitions(mine, path, ["day", "run_flag"], own=own)
+    assert rows(read_days(spark, path, DAY, DAY), "value", "run_flag") == [(11, "early"), (2, "else")]
+    # a whole day, its runs included
+    write_partitions(df.where("run_flag = 'else'"), path, ["day", "run_flag"], own={"day": DAY})
+    assert rows(read_days(spark, path, DAY, DAY), "value", "run_flag") == [(2, "else")]
+    assert [f for f in os.listdir(path) if "staged" in f and f.endswith("before")] == []
+
+
+def test_catalog_partition_is_switched(spark, tmp_path, rows):
+    spark.sql("drop table if exists tw_switch")
+    spark.sql(f"create table tw_switch (value int, day string, hour string) using parquet partitioned by (day, hour) location 'file:{tmp_path}/t'")
+    try:
+        df = spark.createDataFrame([("d", "03", 1), ("d", "04", 2)], "day string, hour string, value int")
+        overwrite_table(df, "tw_switch")
+        own = {"day": "d", "hour": "04"}
+        broken = df.where("hour = '04'").withColumn("value", F.raise_error(F.lit("lost")).cast("int"))
+        with pytest.raises(Exception, match="lost"):
+            overwrite_table(broken, "tw_switch", own)
+        assert rows(spark.table("tw_switch"), "hour", "value") == [("03", 1), ("04", 2)]
+        overwrite_table(spark.table("tw_switch").where("hour = '04'").withColumn("value", F.lit(9)), "tw_switch", own)
+        assert rows(spark.table("tw_switch"), "hour", "value") == [("03", 1), ("04", 9)]
+        overwrite_table(df.where("false"), "tw_switch", own)
+        assert rows(spark.table("tw_switch"), "hour", "value") == [("03", 1)]
+        assert spark.sql("show partitions tw_switch").count() == 2
+    finally:
+        spark.sql("drop table tw_switch")
+
+
+def test_text_days(spark, tmp_path, rows):
+    path = str(tmp_path / "s")
+    df = spark.createDataFrame([(1, "2024-05-19"), (2, "2024-05-20"), (3, "tmp"), (4, "2024-05-20x"), (5, ""), (6, "2024-05-21")], "value int, day string")
+    write_partitions(df, path, ["day"])
+    found = read_days(spark, path, ago(1), DAY, schema=df.schema)
+    assert rows(found, "value") == [(1,), (2,)]
+    assert rows(read_days(spark, path, F.date_sub(F.lit(DAY), 1), F.lit(DAY), schema=df.schema), "value") == [(1,), (2,)]
+
+
+def test_stored_files_and_gaps(spark, tmp_path, rows):
+    path = str(tmp_path / "logs" / "clicks")
+    df = spark.createDataFrame([(i, ago(i % 3)) for i in range(9)], "value int, day date")
+    write_partitions(df, path, ["day"])
+    files = stored_files(read_days(spark, path, ago(1), DAY))
+    got = files.groupBy("name", "day").agg(F.sum("rows").alias("n"), F.min(F.col("length") > 0).alias("ok"))
+    assert rows(got, "name", "day", "n", "ok") == [("clicks", ago(1), 3, True), ("clicks", DAY, 3, True)]
+    assert stored_files(read_days(spark, path, ago(9), ago(8))).count() == 0
+    tables = spark.createDataFrame([("clicks",), ("views",)], "name string")
+    known = files.unionByName(files.withColumn("day", F.date_sub("day", 2)).withColumn("length", F.lit(0).cast("long")))
+    gaps = partition_gaps(known, tables, ago(4), DAY)
+    wanted = [("clicks", ago(2), "empty"), ("clicks", ago(3), "empty"), ("clicks", ago(4), "absent")]
+    assert rows(gaps, "name", "day", "gap") == sorted(wanted + [("views", ago(n), "absent") for n in range(5)], key=repr)
+    assert expected_partitions(tables, ago(1), DAY, hourly=True).count() == 2 * 2 * 24
+
+
 def test_catalog_table_and_registry(spark, tmp_path, rows):
     spark.sql("drop table if exists tw_part")
     spark.sql(f"create table tw_part (value int, day string, hour string) using parquet partitioned by (day, hour) location 'file:{tmp_path}/t'")
@@ -128,6 +196,42 @@ def test_metric_flow(spark, tmp_path):
     assert stored.count() == 4 * 9 and {r.run_flag for r in stored.select("run_flag").collect()} == {"early"}
 
 
+def test_profile_run_obeys_its_configuration(spark, tmp_path, rows):
+    sales = spark.createDataFrame(
+        [(DAY, "ios", 2**62, 1), (DAY, "web", 2**62, 2), (DAY, "web", 2**62, 2), (ago(1), "ios", 7, 3)],
+        "day date, os string, pay_amount bigint, note_num bigint",
+    )
+    base = "app_name string, name string, owner string, partition_keys string, table_bytes long, queries long, day_bytes long, downstream string"
+    lists = "main_dimension array<string>, `values` array<string>, run_flag string, read_day date"
+    rest = ("ann", "day", 1, 1, 1, "")
+    config = spark.createDataFrame(
+        [
+            ("shop", "shop.now", *rest, ["os"], ["pay_amount"], "early", DAY),
+            ("dw", "dw.now", *rest, [], ["pay_amount", "gone"], "early", DAY),
+            ("shop", "shop.behind", *rest, ["os"], ["pay_amount"], "early", ago(1)),
+            ("shop", "shop.none", *rest, ["os"], ["pay_amount"], "early", ago(9)),
+            ("shop", "shop.later", *rest, ["os"], ["pay_amount"], "else", DAY),
+            ("shop", "shop.unknown", *rest, ["os"], ["pay_amount"], "early", DAY),
+        ],
+        f"{base}, {lists}",
+    )
+    tables = {n: sales for n in ("shop.now", "dw.now", "shop.behind", "shop.none", "shop.later", "shop.not_listed")}
+    history = flows.profile_run(str(tmp_path), tables, config, DAY, "early", group=3)
+    got = rows(history.where("metric in ('row_num', 'pay_amount_sum_poly1')"), "name", "dimension", "metric", "value")
+    sums = lambda n, d, rows_, total: [(n, d, "pay_amount_sum_poly1", total), (n, d, "row_num", rows_)]
+    assert got == sorted(
+        sums("shop.now", "os:ios", 1.0, 2.0**62) + sums("shop.now", "os:web", 2.0, 2.0**63) + sums("dw.now", "", 3.0, 3 * 2.0**62)
+        + sums("shop.behind", "os:ios", 1.0, 7.0) + [("shop.none", "", "row_num", 0.0)], key=repr,
+    )
+    assert rows(history.select("day", "run_flag").distinct()) == [(DAY, "early")]
+    assert not any("note" in r.metric for r in history.collect())
+    # a run without tables leaves an empty partition, also where there was one
+    again = flows.profile_run(str(tmp_path), tables, config.where("run_flag = 'else'"), DAY, "early")
+    assert again.count() == 0
+    late = flows.profile_run(str(tmp_path), tables, config, DAY, "else")
+    assert rows(late.select("name", "run_flag").distinct()) == [("shop.later", "else")]
+
+
 def test_inventory_and_column_flows(spark, tmp_path):
     e = lambda schema: spark.createDataFrame([], schema)
     shared = spark.createDataFrame([("app.sh", "shared_event", "1")], "name string, source_kind string, event_id string")
