@@ -12,9 +12,9 @@ from ..functions.rules import GIB, catalog_status, epoch_ms_date, is_fresh, is_w
 
 
 def export_tables(
-    tasks: DataFrame, task_type: int = 3, cluster: int = 1, status: int = 3, area: str = "sg"
+    tasks: DataFrame, *, task_type: int, cluster: int, status: int, area: str
 ) -> DataFrame:
-    """Running export tasks of one cluster and area, with canonical names."""
+    """Running export tasks of one kind, cluster and area, with canonical names; what they are called is the site's."""
     return tasks.where(
         (F.col("task_type") == task_type)
         & (F.col("dest_cluster_id") == cluster)

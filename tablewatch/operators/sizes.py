@@ -9,6 +9,8 @@ from ..functions.names import series_name
 from ..functions.rules import age_label, as_date, is_measured
 
 SERIES = ["name", "event_id"]
+#: What is known of a series after some days.
+STATE = ["total_bytes", "last_day", "full_day", "empty_since"]
 
 
 def _age_status(prefix: str, since: Column, as_of) -> Column:
@@ -63,32 +65,73 @@ def recent_partitions(days: DataFrame, n: int = 110, keys: list[str] = SERIES) -
     return days.withColumn("_n", F.row_number().over(latest)).where(F.col("_n") <= n).drop("_n")
 
 
-def gap_status(days: DataFrame, as_of, keys: list[str] = SERIES) -> DataFrame:
-    """Per series: bytes of the day, bytes so far, and whether data was cut off or its task stopped.
+def size_state(days: DataFrame, keys: list[str] = SERIES) -> DataFrame:
+    """What a series' days so far come down to: bytes in all, last day, last full day, and the first of the empty days
+    after it.
 
-    The trailing run of empty partitions starts at the first empty day after the last full one.
     Input has one row per series and day, so the window group is no longer than the calendar and
     the aggregate that follows reuses its partitioning.
     """
     series = Window.partitionBy(*keys)
     full_day = F.when(F.col("bytes") > 0, F.col("day"))
-    known = days.where(F.col("day") <= as_date(as_of)).withColumn(
-        "_full", F.max(full_day).over(series)
-    )
+    known = days.withColumn("_full", F.max(full_day).over(series))
     trailing = (F.col("bytes") == 0) & (F.col("_full").isNull() | (F.col("day") > F.col("_full")))
-    found = known.groupBy(*keys).agg(
-        F.sum(F.when(F.col("day") == as_date(as_of), F.col("bytes")).otherwise(0)).alias("file_bytes"),
+    return known.groupBy(*keys).agg(
         F.sum("bytes").alias("total_bytes"),
-        F.min(F.when(trailing, F.col("day"))).alias("empty_since"),
         F.max("day").alias("last_day"),
+        F.max("_full").alias("full_day"),
+        F.min(F.when(trailing, F.col("day"))).alias("empty_since"),
     )
-    status = (
+
+
+def fold_state(state: DataFrame, days: DataFrame, keys: list[str] = SERIES) -> DataFrame:
+    """The state after further days, all of them later than those that ``state`` has seen.
+
+    A series has one row of the state and one of the new days, so one aggregate merges them: the work of a day grows
+    with the series and the day's files, not with the days before.
+    """
+    both = state.select(*keys, *STATE).unionByName(size_state(days, keys).select(*keys, *STATE))
+    merged = both.groupBy(*keys).agg(
+        F.sum("total_bytes").alias("total_bytes"),
+        F.max("last_day").alias("last_day"),
+        F.max("full_day").alias("full_day"),
+        F.min("empty_since").alias("_first"),
+        F.max("empty_since").alias("_second"),
+    )
+    after = lambda c: F.col("full_day").isNull() | (F.col(c) > F.col("full_day"))
+    since = F.when(after("_first"), F.col("_first")).when(after("_second"), F.col("_second"))
+    return merged.withColumn("empty_since", since).select(*keys, *STATE)
+
+
+def state_status(state: DataFrame, today: DataFrame, as_of, keys: list[str] = SERIES) -> DataFrame:
+    """Per series: bytes of the day (from ``today``, its rows by series and day), bytes so far, and whether data was cut
+    off or its task stopped."""
+    of_day = today.where(F.col("day") == as_date(as_of)).groupBy(*keys).agg(F.sum("bytes").alias("file_bytes"))
+    found = state.join(of_day, keys, "left").withColumn("file_bytes", F.coalesce("file_bytes", F.lit(0).cast("long")))
+    return found.withColumn("status", _gap_label(as_of))
+
+
+def _gap_label(as_of) -> Column:
+    return (
         F.when(F.col("file_bytes") > 0, "normal")
         .when(F.col("empty_since").isNotNull(), _age_status("CutOff", F.col("empty_since"), as_of))
         .when(F.col("last_day") < as_date(as_of), _age_status("TaskStop", F.col("last_day"), as_of))
         .otherwise("normal")
     )
-    return found.withColumn("status", status)
+
+
+def gap_status(days: DataFrame, as_of, keys: list[str] = SERIES) -> DataFrame:
+    """Per series: bytes of the day, bytes so far, and whether data was cut off or its task stopped.
+
+    The trailing run of empty partitions starts at the first empty day after the last full one. All days up to the
+    as-of day are read; ``fold_state`` gives the same from a stored state and the new days alone.
+    """
+    known = days.where(F.col("day") <= as_date(as_of))
+    bytes_now = F.when(F.col("day") == as_date(as_of), F.col("bytes")).otherwise(0)
+    series = Window.partitionBy(*keys)
+    known = known.withColumn("file_bytes", F.sum(bytes_now).over(series))
+    found = size_state(known, [*keys, "file_bytes"])
+    return found.withColumn("status", _gap_label(as_of))
 
 
 def full_table_freshness(
@@ -109,15 +152,23 @@ def full_table_freshness(
 
 
 def daily_sizes(
-    files: DataFrame, inventory: DataFrame, as_of, registry: DataFrame | None = None
+    files: DataFrame,
+    inventory: DataFrame,
+    as_of,
+    registry: DataFrame | None = None,
+    gaps: DataFrame | None = None,
 ) -> DataFrame:
     """Every inventory row with its bytes on the day, its total and its status.
 
+    ``gaps`` is the status by series where it is known from a stored state; ``files`` then only needs the day's files
+    and those without a day.
+
     Files without a valid day make a further row of their series, with a status of its own.
     Both measurements are one row per series before they meet the inventory, whose rows are
     distinct, so the joins have no hot keys.
     """
-    gaps = gap_status(day_bytes(files, registry), as_of).select(
+    gaps = gap_status(day_bytes(files, registry), as_of) if gaps is None else gaps
+    gaps = gaps.select(
         *SERIES, F.col("file_bytes").alias("_day_bytes"), "total_bytes", "empty_since",
         F.col("status").alias("_gap"),
     )

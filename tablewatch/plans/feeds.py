@@ -340,6 +340,10 @@ def catalog_columns(spark, sf) -> DataFrame:
 # --- configuration tables
 
 
+#: Which of the tasks are exports to watch.
+EXPORTS = {"task_type": 3, "cluster": 1, "status": 3, "area": "north"}
+
+
 def export_tasks(spark, sf) -> DataFrame:
     return table(spark, sf, "orders").select(
         F.concat(F.lit("DB"), F.col("o_orderstatus")).alias("hive_db"),
@@ -348,7 +352,7 @@ def export_tasks(spark, sf) -> DataFrame:
         F.substring("o_orderpriority", 1, 1).cast("int").alias("task_type"),
         F.lit(1).alias("dest_cluster_id"),
         F.when(F.col("o_orderstatus") == "F", 3).otherwise(1).alias("status"),
-        F.lit("sg").alias("area"),
+        F.lit("north").alias("area"),
     )
 
 

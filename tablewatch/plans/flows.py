@@ -16,8 +16,8 @@ from ..operators.columns import column_catalog, profile_config
 from ..operators.inventory import attach_status, build_inventory
 from ..operators.profile import DIMENSION, empty_tables, profile_planned, run_plans, with_attributes
 from ..operators.report import metric_lines, volume_lines
-from ..operators.sizes import cutoff_table, daily_sizes, hourly_sizes
-from ..sources.tables import days_between, read_table, write_partitions
+from ..operators.sizes import cutoff_table, daily_sizes, day_bytes, fold_state, hourly_sizes, size_state, state_status
+from ..sources.tables import days_between, exists, read_table, write_partitions
 
 
 def keep(df: DataFrame, store: str, table: str, by: list[str], **own) -> DataFrame:
@@ -31,6 +31,11 @@ def keep(df: DataFrame, store: str, table: str, by: list[str], **own) -> DataFra
     return read_table(df.sparkSession, where, schema=df.schema)
 
 
+def read_or_empty(spark, location: str, schema) -> DataFrame:
+    """A stored table, or no rows where nothing was stored yet."""
+    return read_table(spark, location, schema=schema) if exists(spark, location) else spark.createDataFrame([], schema)
+
+
 def until(df: DataFrame, as_of, days: int) -> DataFrame:
     """Partitions from ``days`` before the as-of day up to it."""
     day = as_date(as_of)
@@ -53,6 +58,29 @@ def watch_inventory(
     return known.unionByName(raw_logs)
 
 
+def measure_day(
+    store: str, files: DataFrame, inventory: DataFrame, as_of, registry: DataFrame | None = None
+) -> DataFrame:
+    """Measure a day from its own files and the stored state of the day before; returns the day's rows.
+
+    ``files`` and ``registry`` need only hold the day, and files without one. The first run takes what it is given as
+    the whole past. The state is a partition by day: a day whose files came late is measured again with the days after it.
+    """
+    day, spark = as_date(as_of), files.sparkSession
+    days = day_bytes(files, registry).where(F.col("day") <= day)
+    schema = size_state(days).withColumn("day", day).schema
+    stored = read_or_empty(spark, f"{store}/size_state", schema).where(F.col("day") < day)
+    before = stored.agg(F.max("day")).first()[0]
+    if before is None:
+        state = size_state(days)
+    else:
+        state = fold_state(stored.where(F.col("day") == F.lit(before)), days.where(F.col("day") > F.lit(before)))
+    states = keep(state.withColumn("day", day), store, "size_state", ["day"], day=as_of)
+    gaps = state_status(until(states, as_of, 0).drop("day"), days, as_of)
+    sizes = daily_sizes(files, inventory, as_of, registry, gaps)
+    return until(keep(sizes, store, "daily_sizes", ["day"], day=as_of), as_of, 0)
+
+
 def watch_volumes(
     store: str,
     files: DataFrame,

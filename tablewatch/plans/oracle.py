@@ -632,6 +632,7 @@ ORACLE: dict[str, str] = {
         """SELECT name, event_id, day, bytes FROM (SELECT *, row_number() OVER (PARTITION BY name, event_id ORDER BY day DESC) AS rn
            FROM odays) WHERE rn<=110""", "odays"),
     "gap_status": sql("SELECT * FROM gaps", "odays", "gaps"),
+    "folded_sizes": sql("SELECT * FROM gaps", "odays", "gaps"),
     "full_freshness": sql("SELECT * FROM fresh", "files", extra={"fresh": CTE["fresh"].replace("ASOF", "2024-01-31")}),
     "daily_sizes": sql("SELECT * FROM daily", "files", "opened", "edays", "watched", "egaps", extra=DAILY_FRESH),
     "cutoff_tables": sql(

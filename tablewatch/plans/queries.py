@@ -101,7 +101,7 @@ def catalog_admission(spark, sf):
 @query
 def inventory_sources(spark, sf):
     return inventory.build_inventory(
-        inventory.export_tables(feeds.export_tasks(spark, sf)),
+        inventory.export_tables(feeds.export_tasks(spark, sf), **feeds.EXPORTS),
         inventory.event_tables(feeds.event_configs(spark, sf)),
         feeds.shared_events(spark, sf),
         ["brand#3", "brand#21"],
@@ -348,6 +348,20 @@ def gap_status(spark, sf):
     return g.select("name", "event_id", "file_bytes", "total_bytes", "empty_since", "last_day", "status")
 
 
+@query
+def folded_sizes(spark, sf):
+    """The same from a stored state three weeks old and the weeks since, folded one after another."""
+    store, days = f"{shared_dir(spark)}/tablewatch/{uuid.uuid4().hex}", feeds.order_days(spark, sf)
+    ends = ["2001-06-29", "2001-07-06", "2001-07-13", GAP_DAY]
+    state = sizes.size_state(days.where(F.col("day") <= F.lit(ends[0])))
+    for since, end in zip(ends, ends[1:]):
+        state.write.parquet(f"{store}/{since}")
+        state = spark.read.schema(state.schema).parquet(f"{store}/{since}")
+        state = sizes.fold_state(state, days.where((F.col("day") > F.lit(since)) & (F.col("day") <= F.lit(end))))
+    g = sizes.state_status(state, days, GAP_DAY)
+    return g.select("name", "event_id", "file_bytes", "total_bytes", "empty_since", "last_day", "status")
+
+
 @query
 def full_freshness(spark, sf):
     g = sizes.full_table_freshness(feeds.files(spark, sf), "2024-01-31")
@@ -423,7 +437,7 @@ def rolling_volumes(spark, sf):
 @query
 def topic_pairs(spark, sf):
     return volume.topics(
-        inventory.export_tables(feeds.export_tasks(spark, sf)),
+        inventory.export_tables(feeds.export_tasks(spark, sf), **feeds.EXPORTS),
         inventory.event_tables(feeds.event_configs(spark, sf)),
     )
 

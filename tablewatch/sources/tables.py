@@ -67,6 +67,11 @@ def _file_system(spark: SparkSession, path: str):
     return paths(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), paths
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, paths = _file_system(spark, path)
+    return fs.exists(paths(path))
+
+
 def _switch(spark: SparkSession, staged: str, place: str) -> None:
     """Put a written folder in the place of another, which is kept aside until the new one stands there."""
     fs, path = _file_system(spark, place)

@@ -12,12 +12,12 @@ def ago(n):
 
 def test_build_inventory(spark, rows):
     tasks = spark.createDataFrame(
-        [("DB", " T1", "x y", 3, 1, 3, "sg"), ("tmp", "t2", "", 3, 1, 3, "sg"), ("db", "t3", "", 3, 1, 2, "sg"), ("db", "t1", "z", 3, 1, 3, "sg"), ("test", "t", "", 3, 1, 3, "sg")],
+        [("DB", " T1", "x y", 3, 1, 3, "north"), ("tmp", "t2", "", 3, 1, 3, "north"), ("db", "t3", "", 3, 1, 2, "north"), ("db", "t1", "z", 3, 1, 3, "north"), ("test", "t", "", 3, 1, 3, "north")],
         "hive_db string, hive_table string, topic_name string, task_type int, dest_cluster_id int, status int, area string",
     )
     configs = spark.createDataFrame([("App.Ev ", "top ic", 0), ("", "q", 0), ("app.common", "q", 1)], "hive_table string, final_topic string, is_common int")
     shared = spark.createDataFrame([("app.sh", "shared_event", "7", "/p"), ("app.sh", "shared_event", "7", "/q")], "name string, source_kind string, event_id string, path string")
-    got = inventory.build_inventory(inventory.export_tables(tasks), inventory.event_tables(configs), shared, ["test"])
+    got = inventory.build_inventory(inventory.export_tables(tasks, task_type=3, cluster=1, status=3, area="north"), inventory.event_tables(configs), shared, ["test"])
     # the blank inside the concatenated name is kept, only its ends are trimmed
     assert rows(got) == [("app.ev", "event", ""), ("app.sh", "shared_event", "7"), ("db. t1", "db_export", ""), ("db.t1", "db_export", "")]
 

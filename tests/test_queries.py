@@ -14,7 +14,7 @@ from tablewatch.plans.queries import REGISTRY as QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 #: Queries that write tables: what they return is a scan.
-WRITERS = {"partition_rerun", "partition_switch", "catalog_rerun", "csv_list", "inventory_files", "string_days", "profile_by_config"}
+WRITERS = {"partition_rerun", "partition_switch", "catalog_rerun", "csv_list", "inventory_files", "string_days", "profile_by_config", "folded_sizes"}
 
 
 @pytest.fixture(scope="module")

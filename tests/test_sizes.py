@@ -34,6 +34,24 @@ def test_gap_status(spark, days, status):
     assert gap(spark, days) == status
 
 
+def test_folding_days_equals_reading_all(spark, rows):
+    import random
+
+    rng = random.Random(5)
+    data = [(f"t{t}", "", ago(d), rng.choice([0, 0, 0, 7])) for t in range(40) for d in range(12) if rng.random() < 0.7]
+    data += [("late", "", ago(0), 0), ("gone", "", ago(11), 0), ("full", "", ago(11), 5)]
+    df = spark.createDataFrame(data, "name string, event_id string, day date, bytes long").cache()
+    state = sizes.size_state(df.where(F.col("day") <= F.lit(ago(9))))
+    for end in (6, 5, 0):
+        seen = spark.createDataFrame(state.collect(), state.schema)
+        before = {6: 9, 5: 6, 0: 5}[end]
+        state = sizes.fold_state(seen, df.where((F.col("day") > F.lit(ago(before))) & (F.col("day") <= F.lit(ago(end)))))
+    columns = ["name", "file_bytes", "total_bytes", "last_day", "full_day", "empty_since", "status"]
+    assert rows(sizes.state_status(state, df, D), *columns) == rows(sizes.gap_status(df, D), *columns)
+    # days without rows change nothing
+    assert rows(sizes.fold_state(state, df.where("false")), "name", *sizes.STATE) == rows(state, "name", *sizes.STATE)
+
+
 @pytest.mark.parametrize(
     "written, status",
     [

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
+from tablewatch.operators.sizes import daily_sizes
 from tablewatch.plans import flows
 from tablewatch.session import shared_dir
 from tablewatch.sources.files import expected_partitions, list_files, partition_gaps, partition_registry, stored_files
@@ -172,6 +173,25 @@ def test_volume_flow(spark, tmp_path):
     assert flows.watch_hour(store, files, inventory, DAY, 0, min_bytes=1).count() == 0
 
 
+def test_day_measured_from_the_state_before(spark, tmp_path, rows):
+    inventory = spark.createDataFrame(
+        [(n, "", "event", f"/w/{n}", "normal", 2048, 9, "day") for n in "abc"],
+        "name string, event_id string, source_kind string, path string, status string, table_bytes long, queries long, partition_keys string",
+    )
+    data = [("a", "", ago(n), 1, "p", 10 + n, dt.datetime(2024, 5, 1)) for n in range(6)]
+    data += [("b", "", ago(n), 1, "p", 5, dt.datetime(2024, 5, 1)) for n in range(3, 6)]
+    data += [("c", "", ago(n), 1, "p", 0 if n < 2 else 4, dt.datetime(2024, 5, 1)) for n in range(6)]
+    data += [("a", "", None, 1, "p", 3, dt.datetime(2024, 5, 1))]
+    files = spark.createDataFrame(data, "name string, event_id string, day date, hour int, path string, length long, modificationTime timestamp_ntz")
+    for n in (5, 4, 3, 2, 1, 0, 0):
+        of_day = files.where((F.col("day") == F.lit(ago(n))) | F.col("day").isNull())
+        got = flows.measure_day(str(tmp_path), of_day, inventory, ago(n))
+    columns = ["name", "file_bytes", "status", "path"]
+    wanted = [("a", 3, "InvalidDay1Files", "/w/a"), ("a", 10, "normal", "/w/a/day=2024-05-20"), ("b", 0, "TaskStop4Days", "/w/b"), ("c", 0, "CutOff2Days", "/w/c/day=2024-05-19")]
+    assert rows(got, *columns) == sorted(wanted, key=repr)
+    assert rows(daily_sizes(files, inventory, DAY), *columns) == sorted(wanted, key=repr)
+
+
 def test_metric_flow(spark, tmp_path):
     store = str(tmp_path)
     data = [(d, "ios" if i % 2 else "web", 10 if d else 1000) for d in range(0, 9) for i in range(40)]
