@@ -9,6 +9,7 @@ of shards, so its count is that of the whole corpus, and lengths interleave with
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,10 @@ _MASK = np.uint64(SLOTS - 1)
 _NEVER = np.uint8(255)
 #: Words of a stream that are handled at once; keys that are gathered, or remembered, at once.
 WORDS, KEYS = 1 << 18, 1 << 22
+#: Shares of the texts, one in so many, that are searched for the words of phrases.
+SHARES = (64, 8, 1)
+#: Bits of a key that its mark does not depend on.
+_MARK = 32
 #: Names of phrases that are handed on at once.
 NAMES = 10_000
 #: Bytes of a text that are split into words at once.
@@ -165,12 +170,29 @@ def frequent(docs: DataFrame, longest: int, least: int, shards: int = SHARDS) ->
     return state.where(F.col("n") >= least).select("key", F.col("tag").bitwiseAND(F.lit(7)).cast("int").alias("k"), "n")
 
 
-def _named(docs: DataFrame, slots, longest: int) -> DataFrame:
-    """(key, lang, words) of the phrases of two and more words whose slot is taken, once and again."""
+def _marks(keys: DataFrame) -> np.ndarray:
+    """A mark of the key that takes each slot: 0 where there is none, 255 where there are several unlike ones."""
+    slot = F.col("key").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")
+    mark = (F.pmod(F.shiftright("key", _MARK), F.lit(254)) + 1).cast("int").alias("mark")
+    found = keys.select(slot, mark).groupBy("slot").agg(F.min("mark").alias("low"), F.max("mark").alias("high")).toArrow()
+    low, high = found.column("low").to_numpy(), found.column("high").to_numpy()
+    marks = np.zeros(SLOTS, np.uint8)
+    marks[found.column("slot").to_numpy()] = np.where(low == high, low, 255)
+    return marks
+
+
+def _marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether keys may be among those that made the marks."""
+    there = marks[keys & np.uint64(len(marks) - 1)]
+    return (there == 255) | (there == (keys.view(np.int64) >> _MARK) % 254 + 1)
+
+
+def _named(docs: DataFrame, marks, longest: int) -> DataFrame:
+    """(key, lang, words) of the phrases of two and more words that may be marked, once and again."""
     schema = "key long, lang string, words array<binary>"
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        taken = np.frombuffer(slots.value, np.uint8) != _NEVER
+        taken = np.frombuffer(marks.value, np.uint8)
         seen: set[int] = set()
         out: list[tuple[int, str, list[bytes]]] = []
 
@@ -185,7 +207,7 @@ def _named(docs: DataFrame, slots, longest: int) -> DataFrame:
                 for ids, seeds, place, starts in _parts(whole, np.full(len(words), lang_key(lang)), longest):
                     for k, keys, ok in _phrases(ids, seeds, longest):
                         if k > 1:
-                            at = np.flatnonzero((ok & taken[keys & _MASK])[:starts])
+                            at = np.flatnonzero((ok & _marked(taken, keys))[:starts])
                             for key, i in zip(keys[at].view(np.int64).tolist(), (at + place).tolist()):
                                 if key not in seen:
                                     seen.add(key)
@@ -200,6 +222,25 @@ def _named(docs: DataFrame, slots, longest: int) -> DataFrame:
     return docs.select("text", "lang").mapInArrow(name, schema)
 
 
+def _all_named(docs: DataFrame, keys: DataFrame, longest: int) -> DataFrame:
+    """(key, lang, words, a) of all keys (key, a).
+
+    Nearly all frequent phrases stand in a small share of the texts. Those that do not are looked for in a larger one,
+    the last in all texts, so that few are named by every task.
+    """
+    spark, found = docs.sparkSession, []
+    for share in SHARES:
+        marks = spark.sparkContext.broadcast(_marks(keys).tobytes())
+        some = docs.withColumn("at", F.pmod(F.monotonically_increasing_id(), F.lit(share))).where("at = 0")
+        names = _named(some, marks, longest).dropDuplicates(["key"])
+        found.append(stored(names.join(keys, "key"), "names"))
+        marks.destroy()
+        keys = stored(keys.join(found[-1], "key", "left_anti"), "unnamed")
+        if not keys.limit(1).count():
+            break
+    return reduce(DataFrame.unionByName, found)
+
+
 def _cuts(named: DataFrame, longest: int) -> DataFrame:
     """Every cut of every phrase: the keys of the first ``cut`` words and of the rest."""
     schema = "key long, lang string, phrase string, a long, k int, cut int, left long, right long, total long"
@@ -234,12 +275,8 @@ def collocations(docs: DataFrame, longest: int = 5, least: int = 100, share: int
     """
     docs = docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     counts = frequent(docs, longest, least, shards)
-    slots = np.full(SLOTS, _NEVER)
-    slots[_slots(counts)] = 0
-    taken = docs.sparkSession.sparkContext.broadcast(slots.tobytes())
     longer = counts.where("k > 1").select("key", F.col("n").alias("a"))
-    named = stored(_named(docs, taken, longest).join(longer, "key").dropDuplicates(["key"]), "named")
-    taken.destroy()
+    named = stored(_all_named(docs, longer, longest), "named")
     cuts = stored(_cuts(named, longest), "cuts")
 
     number = lambda name, key: counts.select(F.col("key").alias(key), F.col("n").alias(name))
