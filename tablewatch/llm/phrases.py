@@ -14,7 +14,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -30,7 +30,7 @@ _MASK = np.uint64(SLOTS - 1)
 _NEVER = np.uint8(255)
 #: Words of a stream that are handled at once; keys that are gathered, or remembered, at once.
 WORDS, KEYS = 1 << 18, 1 << 22
-#: Shares of the texts, one in so many, that are searched for the words of phrases.
+#: Shares of the texts, one in so many, that are searched for the words of phrases; the last one is the whole.
 SHARES = (64, 8, 1)
 #: Bits of a key that its mark does not depend on.
 _MARK = 32
@@ -66,17 +66,24 @@ def _words(text: str | None) -> list[bytes]:
     return [w for found in _word_lists(text) for w in found]
 
 
+def _text_id() -> Column:
+    """A hash of a text and its language; texts that share one are both searched, which changes no name."""
+    return F.xxhash64("text", "lang").alias("text_id")
+
+
 def _streams(docs: DataFrame, shards: int) -> DataFrame:
-    """(seed, ids, shard): the key of each text's language and its words, with end marks, as 64-bit numbers."""
+    """(seed, ids, text_id, shard): the key of each text's language, its words, with end marks, as 64-bit numbers, and a
+    hash by which the text is found again."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seeds = np.array([lang_key(n.as_py()) for n in batch.column(1)], np.uint64).view(np.int64)
             ids = [np.concatenate([word_ids(w) for w in _word_lists(t.as_py())]).tobytes() for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(seeds), pa.array(ids, pa.binary()), batch.column(2)], names=["seed", "ids", "shard"])
+            arrays = [pa.array(seeds), pa.array(ids, pa.binary()), batch.column(2), batch.column(3)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["seed", "ids", "text_id", "shard"])
 
     dealt = docs.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int"))
-    return dealt.select("text", "lang", "shard").mapInArrow(read, "seed long, ids binary, shard int")
+    return dealt.select("text", "lang", _text_id(), "shard").mapInArrow(read, "seed long, ids binary, text_id long, shard int")
 
 
 def _parts(ids: np.ndarray, seeds: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
@@ -141,11 +148,10 @@ def _slots(keys: DataFrame) -> np.ndarray:
     return found.toArrow().column("slot").to_numpy()
 
 
-def frequent(docs: DataFrame, longest: int, least: int, shards: int = SHARDS) -> DataFrame:
+def frequent(dealt: DataFrame, longest: int, least: int, shards: int = SHARDS) -> DataFrame:
     """(key, k, n) of all phrases of up to ``longest`` words with ``least`` or more occurrences, and for k = 0 the number
-    of words of each language. ``docs`` has text and lang."""
-    spark = docs.sparkSession
-    dealt = stored(_streams(docs, shards), "streams", ("shard",))
+    of words of each language. ``dealt`` are the stored streams of all texts."""
+    spark = dealt.sparkSession
     slots = np.full(SLOTS, _NEVER)
     state, step, last = None, 0, 0
     while step < last + shards:
@@ -166,7 +172,6 @@ def frequent(docs: DataFrame, longest: int, least: int, shards: int = SHARDS) ->
         if len(found):
             slots[found] = step
             last = step
-    discard(dealt)
     return state.where(F.col("n") >= least).select("key", F.col("tag").bitwiseAND(F.lit(7)).cast("int").alias("k"), "n")
 
 
@@ -222,16 +227,46 @@ def _named(docs: DataFrame, marks, longest: int) -> DataFrame:
     return docs.select("text", "lang").mapInArrow(name, schema)
 
 
-def _all_named(docs: DataFrame, keys: DataFrame, longest: int) -> DataFrame:
+def _holders(dealt: DataFrame, marks, longest: int) -> DataFrame:
+    """(key, text_id) of texts that hold phrases that may be marked, found in the stored numbers of their words."""
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        taken = np.frombuffer(marks.value, np.uint8)
+        seen = np.zeros(0, np.uint64)
+        for batch in batches:
+            rows = [np.frombuffer(x.as_py(), np.uint64) for x in batch.column(1)]
+            lengths = [len(x) for x in rows]
+            seeds = batch.column(0).to_numpy().view(np.uint64).repeat(lengths)
+            texts = batch.column(2).to_numpy().repeat(lengths)
+            for ids, seeds, place, starts in _parts(np.concatenate(rows), seeds, longest) if rows else ():
+                for k, keys, ok in _phrases(ids, seeds, longest):
+                    if k > 1:
+                        at = np.flatnonzero((ok & _marked(taken, keys))[:starts])
+                        new, first = np.unique(keys[at], return_index=True)
+                        fresh = ~np.isin(new, seen)
+                        if fresh.any():
+                            new, first = new[fresh], at[first[fresh]] + place
+                            yield pa.RecordBatch.from_arrays([pa.array(new.view(np.int64)), pa.array(texts[first])], names=["key", "text_id"])
+                            seen = np.union1d(seen, new) if len(seen) < KEYS else new
+
+    return dealt.select("seed", "ids", "text_id").mapInArrow(hold, "key long, text_id long")
+
+
+def _all_named(docs: DataFrame, dealt: DataFrame, keys: DataFrame, longest: int) -> DataFrame:
     """(key, lang, words, a) of all keys (key, a).
 
     Nearly all frequent phrases stand in a small share of the texts. Those that do not are looked for in a larger one,
-    the last in all texts, so that few are named by every task.
+    the last in the stored numbers of all texts, which lead to one text for each of them.
     """
     spark, found = docs.sparkSession, []
     for share in SHARES:
         marks = spark.sparkContext.broadcast(_marks(keys).tobytes())
-        some = docs.withColumn("at", F.pmod(F.monotonically_increasing_id(), F.lit(share))).where("at = 0")
+        if share > 1:
+            some = docs.withColumn("at", F.pmod(F.monotonically_increasing_id(), F.lit(share))).where("at = 0")
+        else:
+            held = _holders(dealt, marks, longest).join(keys.select("key"), "key", "left_semi")
+            held = stored(held.groupBy("key").agg(F.min("text_id").alias("text_id")).select("text_id").distinct(), "holders")
+            some = docs.withColumn("text_id", _text_id()).join(held, "text_id", "left_semi")
         names = _named(some, marks, longest).dropDuplicates(["key"])
         found.append(stored(names.join(keys, "key"), "names"))
         marks.destroy()
@@ -274,9 +309,11 @@ def collocations(docs: DataFrame, longest: int = 5, least: int = 100, share: int
     Without candidates, or rows, the result is empty. ``top`` limits the report to the first rows of a language.
     """
     docs = docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    counts = frequent(docs, longest, least, shards)
+    dealt = stored(_streams(docs, shards), "streams", ("shard",))
+    counts = frequent(dealt, longest, least, shards)
     longer = counts.where("k > 1").select("key", F.col("n").alias("a"))
-    named = stored(_all_named(docs, longer, longest), "named")
+    named = stored(_all_named(docs, dealt, longer, longest), "named")
+    discard(dealt)
     cuts = stored(_cuts(named, longest), "cuts")
 
     number = lambda name, key: counts.select(F.col("key").alias(key), F.col("n").alias(name))
