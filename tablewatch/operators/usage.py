@@ -26,11 +26,19 @@ def audit_reads(audit: DataFrame, root: str) -> DataFrame:
     )
 
 
+def _of_users(apps: DataFrame, users: Iterable[str]) -> DataFrame:
+    """Applications of some users; a frame that does not say whose they are counts whole."""
+    wanted = list(users)
+    return apps.where(F.col("user").isin(wanted)) if wanted and "user" in apps.columns else apps
+
+
 def usage_by_table(
-    hot: DataFrame, cold: DataFrame, excluded: Iterable[DataFrame], as_of, root: str
+    hot: DataFrame, cold: DataFrame, excluded: Iterable[DataFrame], as_of, root: str, users: Iterable[str] = ()
 ) -> DataFrame:
     """Applications per table directory on the day before, excluded applications aside.
 
+    With ``users``, only these users' applications are excluded.
+
     Pairs are made distinct by partial aggregation first, so a directory read by everything
     shuffles each application once; the distinct count spreads over (name, application).
     """
@@ -39,7 +47,7 @@ def usage_by_table(
         audit_reads(days_between(cold, F.date_sub(day, 1), day), root)
     )
     for apps in excluded:
-        reads = without(reads, days_between(apps, F.date_sub(day, 1), day), ["app_id"])
+        reads = without(reads, days_between(_of_users(apps, users), F.date_sub(day, 1), day), ["app_id"])
     return (
         reads.withColumn("name", F.element_at(F.split("directory", "/"), -1))
         .groupBy("name")
@@ -47,6 +55,39 @@ def usage_by_table(
     )
 
 
+def usage_bitmaps(audit: DataFrame, root: str) -> DataFrame:
+    """(name, day, cluster, bucket, apps): the applications that read a table on a day, as bitmaps of their numbers.
+
+    An application is the start of its cluster and a number; leading zeros tell none apart. A bitmap holds the numbers
+    of one bucket, so rows are small however many applications there are, and merge without the applications.
+    """
+    app = lambda i: F.regexp_extract("proto", "application_([0-9]+)_([0-9]+)", i).try_cast("long")
+    reads = audit.where(F.col("src").contains(root)).select(
+        F.element_at(F.split(F.substring_index("src", "/day=", 1), "/"), -1).alias("name"),
+        "day", app(1).alias("cluster"), app(2).alias("_app"),
+    ).where("_app is not null")
+    bucket = F.bitmap_bucket_number("_app").alias("bucket")
+    return reads.groupBy("name", "day", "cluster", bucket).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_app")).alias("apps")
+    )
+
+
+def usage_windows(bitmaps: DataFrame, as_of, lengths: Iterable[int] = (1, 2)) -> DataFrame:
+    """(name, day, days, queries): distinct applications of the ``days`` days that end on each day.
+
+    ``bitmaps`` as ``usage_bitmaps`` gives them, stored day by day or not: a day counts for itself and for the windows
+    that end after it, so every length comes from one aggregate. Windows end on the as-of day or before.
+    """
+    pairs = [F.struct(F.lit(n).alias("days"), F.lit(i).alias("after")) for n in lengths for i in range(n)]
+    ends = F.explode(F.array(*pairs))
+    spread = bitmaps.withColumn("_w", ends).select(
+        "name", "cluster", "bucket", "apps", F.date_add("day", F.col("_w.after")).alias("day"), "_w.days"
+    )
+    spread = spread.where(F.col("day") <= as_date(as_of))
+    merged = spread.groupBy("name", "day", "days", "cluster", "bucket").agg(F.bitmap_or_agg("apps").alias("apps"))
+    return merged.groupBy("name", "day", "days").agg(F.sum(F.bitmap_count("apps")).alias("queries"))
+
+
 def recent_active(sizes: DataFrame, as_of, days: int = 11, min_queries: int = 1) -> DataFrame:
     """Raw logs read more than ``min_queries`` times on some day of the last ``days``."""
     day = as_date(as_of)

@@ -10,6 +10,7 @@ from ..functions.names import series_name
 from ..functions.rules import MIB, as_date, is_important, midnight
 from ..sources.tables import days_between
 from .joins import without
+from .rank import ranked
 
 KEYS = ["name", "event_id", "source_kind"]
 
@@ -234,7 +235,7 @@ def daily_report(
 
 
 def report_diff(report: DataFrame, as_of) -> DataFrame:
-    """Newly abnormal, recovered and fluctuating tables, ranked by use and size.
+    """Newly abnormal, recovered and fluctuating tables; ``ranked_tables`` ranks them by use and size.
 
     Yesterday and today meet in one aggregate per table.
     """
@@ -269,8 +270,19 @@ def report_order(df: DataFrame) -> DataFrame:
     return df.orderBy(F.desc("queries"), F.desc("table_bytes"), "name")
 
 
+def ranked_tables(df: DataFrame, where: str, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of a report with their rank, most used, then largest first; ties by name and the columns given."""
+    order = [F.desc_nulls_last("queries"), F.desc_nulls_last("table_bytes"), *(F.asc_nulls_last(c) for c in ("name", *ties))]
+    return ranked(df, order, where)
+
+
 def status_tally(report: DataFrame) -> DataFrame:
-    """Abnormal tables per kind of status, and their total (``kind`` = ``Total``)."""
+    """Abnormal tables per kind of status, and their total (``kind`` = ``Total``).
+
+    Takes rows with a ``status``, or those of ``daily_report``, of which the fluctuating ones have none.
+    """
+    if "status" not in report.columns:
+        report = report.where(F.col("flag") != "fluctuation").withColumnRenamed("detail", "status")
     kind = F.regexp_extract("status", "^[A-Za-z]+", 0)
     once = report.select("source_kind", "name", kind.alias("kind")).distinct()
     return (

@@ -7,17 +7,23 @@ the written tables cut the lineage, so a lost executor costs one step and not th
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import MIB, as_date
+from ..functions.rules import MIB, as_date, midnight
 from ..operators import metrics, volume
 from ..operators.columns import column_catalog, profile_config
 from ..operators.inventory import attach_status, build_inventory
 from ..operators.profile import DIMENSION, empty_tables, profile_planned, run_plans, with_attributes
 from ..operators.report import metric_lines, volume_lines
 from ..operators.sizes import cutoff_table, daily_sizes, day_bytes, fold_state, hourly_sizes, size_state, state_status
-from ..sources.tables import days_between, exists, read_table, write_partitions
+from ..sources.tables import days_between, exists, read_table, remove, write_partitions
+
+#: Stored rows that the reports read.
+CUTOFFS = "name string, source_kind string, status string, table_bytes long, queries long, partition_keys string, day date"
+EVIDENCE = "name string, source_kind string, flag string, file_bytes long, update_time long, table_bytes long, queries long, day date"
 
 
 def keep(df: DataFrame, store: str, table: str, by: list[str], **own) -> DataFrame:
@@ -122,6 +128,54 @@ def watch_hour(
     return until(anomalies, as_of, 0).where(F.col("hour") == hour)
 
 
+def report_day(
+    store: str,
+    inventory: DataFrame,
+    as_of,
+    whitelist: DataFrame | None = None,
+    topic_pairs: DataFrame | None = None,
+    **thresholds,
+) -> tuple[DataFrame, DataFrame]:
+    """The summary of a day that ``watch_volumes`` has judged: what is new, recovered and fluctuating, ranked by use and
+    size, and the number of abnormal tables by kind of status.
+
+    The report is stored once and both are read from it.
+    """
+    spark, day = inventory.sparkSession, as_date(as_of)
+    cutoffs = read_or_empty(spark, f"{store}/cutoffs", CUTOFFS)
+    anomalies = read_or_empty(spark, f"{store}/volume_anomalies", EVIDENCE)
+    report = volume.daily_report(
+        until(cutoffs, as_of, 1), until(anomalies, as_of, 0), inventory, as_of, whitelist, topic_pairs, **thresholds
+    )
+    reports = keep(report.withColumn("as_of", day), store, "daily_report", ["as_of"], as_of=as_of)
+    report = reports.where(F.col("as_of") == day).drop("as_of")
+    place = f"{store}/_ranks/{uuid.uuid4().hex}"
+    changes = volume.ranked_tables(volume.report_diff(report, as_of), place, ties=("source_kind", "change"))
+    changes = keep(changes.withColumn("day", day), store, "report_changes", ["day"], day=as_of)
+    remove(spark, place)
+    tally = volume.status_tally(report.where(F.col("day") == day)).withColumn("day", day)
+    return until(changes, as_of, 0), until(keep(tally, store, "report_tally", ["day"], day=as_of), as_of, 0)
+
+
+def report_hour(
+    store: str,
+    inventory: DataFrame,
+    as_of,
+    hour: int,
+    whitelist: DataFrame | None = None,
+    topic_pairs: DataFrame | None = None,
+    **thresholds,
+) -> DataFrame:
+    """Tables that ``watch_hour`` flagged in three hours in a row up to this one, stored by day and hour."""
+    spark, day = inventory.sparkSession, as_date(as_of)
+    anomalies = read_or_empty(spark, f"{store}/hourly_anomalies", f"{EVIDENCE}, hour int")
+    cutoffs = read_or_empty(spark, f"{store}/cutoffs", CUTOFFS)
+    at = midnight(day) + hour * 3600
+    found = volume.hourly_report(anomalies, cutoffs, inventory, as_of, hour, at, whitelist, topic_pairs, **thresholds)
+    reports = keep(found.withColumn("day", day), store, "hourly_report", ["day", "hour"], day=as_of, hour=hour)
+    return until(reports, as_of, 0).where(F.col("hour") == hour)
+
+
 def describe_columns(
     store: str,
     tables: DataFrame,

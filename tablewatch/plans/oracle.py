@@ -507,6 +507,15 @@ ORACLE: dict[str, str] = {
         SELECT split_part(directory,'/',-1) AS name, count(DISTINCT app_id) AS queries FROM audit
         WHERE app_id NOT IN (SELECT 'application_170_'||lpad(CAST(doc_id%997 AS VARCHAR),4,'0') FROM labels WHERE toxic=1)
         GROUP BY 1""",
+    "usage_windows": """WITH audit AS (
+          SELECT split_part(url,'/',3) AS name, page_id%997 AS app,
+            CASE WHEN url LIKE 'https%' THEN DATE '2024-01-02' ELSE DATE '2024-01-03' END
+              - CAST(length('/data/logs/'||split_part(url,'/',3)||'/day=2024-01-01/part-'||page_id)%4 AS INTEGER) AS day FROM pages),
+        ends AS (SELECT DISTINCT a.name, a.day + CAST(i AS INTEGER) AS day, d AS days
+          FROM audit a, range(0,3) r(i), range(1,4) s(d) WHERE i<d)
+        SELECT e.name, e.day, e.days, count(DISTINCT a.app) AS queries FROM ends e
+        JOIN audit a ON a.name=e.name AND a.day>e.day-CAST(e.days AS INTEGER) AND a.day<=e.day
+        WHERE e.day<=DATE '2024-01-03' GROUP BY ALL""",
     "recent_usage": sql(
         """SELECT name, CAST(max(queries) AS BIGINT) AS queries FROM (
              SELECT name, sum(queries) AS queries FROM measured WHERE source_kind='raw_log' AND day=DATE '2024-01-30' GROUP BY name
@@ -680,6 +689,13 @@ ORACLE: dict[str, str] = {
              FROM report GROUP BY source_kind, name), range(1,4) r(k)
            WHERE (k=1 AND a IS NOT NULL AND b IS NULL) OR (k=2 AND a IS NULL AND b IS NOT NULL) OR (k=3 AND m IS NOT NULL)""",
         *REPORT),
+    "ranked_tables": sql(
+        """SELECT name, bytes AS table_bytes, queries,
+             row_number() OVER (ORDER BY queries DESC, bytes DESC, name) AS rank FROM parts""", "parts"),
+    "report_tally": sql(
+        """SELECT coalesce(kind,'Total') AS kind, count(*) AS tables FROM (SELECT DISTINCT source_kind, name,
+             regexp_extract(detail,'^[A-Za-z]+') AS kind FROM report WHERE flag<>'fluctuation') GROUP BY ROLLUP (kind)""",
+        *REPORT),
     "volume_report": sql(
         f"""SELECT name, source_kind, {_fmt_bytes('table_bytes')} AS table_size, queries, path,
               CASE WHEN flag='fluctuation' THEN {_fmt_file("TRY_CAST(detail AS BIGINT)")} ELSE detail END AS detail, topic FROM report""",
@@ -793,3 +809,8 @@ ORACLE: dict[str, str] = {
            AND date_trunc('year', day) BETWEEN DATE '1996-01-01' AND DATE '2001-01-01'""", "sales", "store"),
     "csv_list": "SELECT DISTINCT p_brand AS name, p_type||',x' AS column_name FROM part",
 }
+
+ORACLE["ranked_changes"] = (
+    "SELECT *, row_number() OVER (ORDER BY queries DESC, table_bytes DESC, name, source_kind, change) AS rank "
+    f"FROM ({ORACLE['report_diff']})"
+)

@@ -125,6 +125,13 @@ def usage_by_path(spark, sf):
     )
 
 
+@query
+def usage_windows(spark, sf):
+    """Applications of each directory over windows of one, two and three days, merged from bitmaps of single days."""
+    apart = feeds.path_audit(spark, sf).withColumn("day", F.date_sub("day", (F.length("src") % 4).cast("int")))
+    return usage.usage_windows(usage.usage_bitmaps(apart, feeds.AUDIT_ROOT), feeds.AUDIT_DAY, (1, 2, 3))
+
+
 @query
 def recent_usage(spark, sf):
     """Directories used now, joined by raw logs used earlier."""
@@ -468,6 +475,26 @@ def report_diff(spark, sf):
     return volume.report_diff(_daily_report(spark, sf), EVENT_DAY)
 
 
+@query
+def ranked_tables(spark, sf):
+    """All tables of the catalog with their rank by use and size."""
+    rows = feeds.catalog(spark, sf).select("name", F.col("bytes").alias("table_bytes"), "queries")
+    return volume.ranked_tables(rows, f"{shared_dir(spark)}/tablewatch/{uuid.uuid4().hex}")
+
+
+@query
+def ranked_changes(spark, sf):
+    """What changed since the day before, with its rank."""
+    changes = volume.report_diff(_daily_report(spark, sf), EVENT_DAY)
+    return volume.ranked_tables(changes, f"{shared_dir(spark)}/tablewatch/{uuid.uuid4().hex}", ("source_kind", "change"))
+
+
+@query
+def report_tally(spark, sf):
+    """Abnormal tables of the daily report by kind of status."""
+    return volume.status_tally(_daily_report(spark, sf))
+
+
 @query
 def volume_report(spark, sf):
     return report.volume_lines(_daily_report(spark, sf)).drop("table_bytes")

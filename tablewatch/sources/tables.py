@@ -72,6 +72,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(paths(path))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing reads any more."""
+    fs, paths = _file_system(spark, path)
+    fs.delete(paths(path), True)
+
+
 def _switch(spark: SparkSession, staged: str, place: str) -> None:
     """Put a written folder in the place of another, which is kept aside until the new one stands there."""
     fs, path = _file_system(spark, place)

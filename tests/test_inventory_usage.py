@@ -63,6 +63,27 @@ def test_usage_by_table(spark, rows):
     assert rows(got) == [("a", 2), ("b", 1)]
 
 
+def test_usage_windows(spark, rows):
+    read = lambda name, app, n: (f"/root/{name}/day=2024-05-01/x", f"rpc_application_{app}_y", ago(n))
+    log = [read("a", "17_0001", 1), read("a", "17_0001", 0), read("a", "17_0002", 0), read("a", "18_0001", 0), read("a", "17_40000", 1)]
+    log += [read("b", "17_0001", 2), read("b", "17_1", 2), ("/else/a/day=1/x", "application_1_1", ago(0)), ("/root/a/day=1/x", "none", ago(0))]
+    audit = spark.createDataFrame(log, "src string, proto string, day date")
+    bitmaps = usage.usage_bitmaps(audit, "/root/")
+    got = rows(usage.usage_windows(bitmaps, DAY, (1, 2)), "name", "day", "days", "queries")
+    wanted = [("a", ago(1), 1, 2), ("a", ago(1), 2, 2), ("a", DAY, 1, 3), ("a", DAY, 2, 4)]
+    wanted += [("b", ago(2), 1, 1), ("b", ago(2), 2, 1), ("b", ago(1), 2, 1)]
+    assert got == sorted(wanted, key=repr)
+    assert usage.usage_windows(usage.usage_bitmaps(audit.where("false"), "/root/"), DAY).count() == 0
+
+
+def test_excluded_applications_of_users(spark, rows):
+    log = [(f"/root/a/day=2024-05-01/{i}", f"application_17_000{i}", ago(1)) for i in range(3)]
+    audit = spark.createDataFrame(log, "src string, proto string, day date")
+    apps = spark.createDataFrame([("application_17_0000", "robot", ago(1)), ("application_17_0001", "ann", ago(1))], "app_id string, user string, day date")
+    use = lambda **kw: rows(usage.usage_by_table(audit, audit, [apps], DAY, "/root/", **kw))
+    assert use() == [("a", 1)] and use(users=["robot"]) == [("a", 2)] and use(users=["nobody"]) == [("a", 3)]
+
+
 def test_recent_active(spark, rows):
     df = spark.createDataFrame([("a", "raw_log", 2, ago(11)), ("b", "raw_log", 1, ago(1)), ("c", "event", 9, ago(1)), ("d", "raw_log", 9, ago(12)), ("e", "raw_log", 9, ago(0))], "name string, source_kind string, queries long, day date")
     assert rows(usage.recent_active(df, DAY)) == [("a",)]

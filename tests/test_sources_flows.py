@@ -192,6 +192,46 @@ def test_day_measured_from_the_state_before(spark, tmp_path, rows):
     assert rows(daily_sizes(files, inventory, DAY), *columns) == sorted(wanted, key=repr)
 
 
+INVENTORY = "name string, event_id string, source_kind string, path string, status string, table_bytes long, queries long, partition_keys string"
+
+
+def test_day_report_flow(spark, tmp_path, rows):
+    store = str(tmp_path)
+    inventory = spark.createDataFrame([(n, "", "event", f"/w/{n}", "normal", 100 * q, q, "day") for n, q in zip("abcd", (5, 9, 9, 7))], INVENTORY)
+    cut = [("a", ago(0), "CutOff1Days"), ("b", ago(0), "TaskStop3Days"), ("b", ago(1), "TaskStop2Days"), ("c", ago(1), "CutOff4Days")]
+    cutoffs = spark.createDataFrame([(n, "event", s, 100, 9, "day", d) for n, d, s in cut], flows.CUTOFFS)
+    at = int(dt.datetime(DAY.year, DAY.month, DAY.day, tzinfo=dt.timezone.utc).timestamp())
+    moved = spark.createDataFrame([("d", "event", "changed", 70, at, 700, 7, DAY)], flows.EVIDENCE)
+    gates = {"idle_bytes": 0, "few_bytes": 0}
+    changes, tally = flows.report_day(store, inventory, DAY, **gates)
+    assert changes.count() == 0 and rows(tally.select("tables")) in ([], [(0,)])
+    write_partitions(cutoffs, f"{store}/cutoffs", ["day"])
+    write_partitions(moved, f"{store}/volume_anomalies", ["day"])
+    for _ in range(2):
+        changes, tally = flows.report_day(store, inventory, DAY, **gates)
+    assert rows(changes, "rank", "name", "change") == [(1, "c", "recovered"), (2, "d", "fluctuating"), (3, "a", "new")]
+    assert rows(tally, "kind", "tables") == [("CutOff", 1), ("TaskStop", 1), ("Total", 2)]
+    assert os.listdir(f"{store}/_ranks") == []
+
+
+def test_hour_report_flow(spark, tmp_path, rows):
+    store = str(tmp_path)
+    inventory = spark.createDataFrame([(n, "", "event", f"/w/{n}", "normal", 100, 9, "day,hour") for n in "abc"], INVENTORY)
+    at = int(dt.datetime(DAY.year, DAY.month, DAY.day, tzinfo=dt.timezone.utc).timestamp())
+    flags = [("a", h, 10 + h) for h in (5, 6, 7)] + [("b", h, 10) for h in (4, 6, 7)] + [("c", h, 10) for h in (5, 6, 7)]
+    flagged = [(n, "event", "changed", size, at + h * 3600, 100, 9, DAY, h) for n, h, size in flags]
+    assert flows.report_hour(store, inventory, DAY, 7, idle_bytes=0, few_bytes=0).count() == 0
+    write_partitions(spark.createDataFrame(flagged, f"{flows.EVIDENCE}, hour int"), f"{store}/hourly_anomalies", ["day", "hour"])
+    cutoffs = spark.createDataFrame([("c", "event", "CutOff1Days", 100, 9, "day", ago(1))], flows.CUTOFFS)
+    write_partitions(cutoffs, f"{store}/cutoffs", ["day"])
+    for _ in range(2):
+        found = flows.report_hour(store, inventory, DAY, 7, idle_bytes=0, few_bytes=0)
+    assert rows(found, "name", "file_bytes", "hour", "path") == [("a", 17, 7, "/w/a")]
+    # an hour judged again without the flag leaves no report
+    write_partitions(spark.createDataFrame([], f"{flows.EVIDENCE}, hour int"), f"{store}/hourly_anomalies", ["day", "hour"], own={"day": DAY, "hour": 6})
+    assert flows.report_hour(store, inventory, DAY, 7, idle_bytes=0, few_bytes=0).count() == 0
+
+
 def test_metric_flow(spark, tmp_path):
     store = str(tmp_path)
     data = [(d, "ios" if i % 2 else "web", 10 if d else 1000) for d in range(0, 9) for i in range(40)]
