@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import series_name
 from ..functions.rules import age_label, as_date, is_measured
+from .joins import without
 
 SERIES = ["name", "event_id"]
 #: What is known of a series after some days.
@@ -59,6 +60,15 @@ def _without_day(files: DataFrame, inventory: DataFrame) -> DataFrame:
     return known.join(found, SERIES).withColumn("status", status)
 
 
+def unlisted_files(files: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Files of series that the inventory does not have: their number and bytes by series, with or without a valid day.
+
+    One aggregate comes before the join, so a series costs a row however many files it has.
+    """
+    found = files.groupBy(*SERIES).agg(F.count("*").alias("files"), F.sum("length").alias("file_bytes"))
+    return without(found, inventory, SERIES)
+
+
 def recent_partitions(days: DataFrame, n: int = 110, keys: list[str] = SERIES) -> DataFrame:
     """The latest ``n`` partitions of every series (one row per series and day)."""
     latest = Window.partitionBy(*keys).orderBy(F.desc("day"))

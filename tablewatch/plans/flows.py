@@ -19,6 +19,7 @@ from ..operators.inventory import attach_status, build_inventory
 from ..operators.profile import DIMENSION, empty_tables, profile_planned, run_plans, with_attributes
 from ..operators.report import metric_lines, volume_lines
 from ..operators.sizes import cutoff_table, daily_sizes, day_bytes, fold_state, hourly_sizes, size_state, state_status
+from ..operators.sizes import unlisted_files
 from ..sources.tables import days_between, exists, read_table, remove, write_partitions
 
 #: Stored rows that the reports read.
@@ -69,6 +70,7 @@ def measure_day(
 ) -> DataFrame:
     """Measure a day from its own files and the stored state of the day before; returns the day's rows.
 
+    Files of series that the inventory does not have are counted in ``unlisted_files`` of the store.
     ``files`` and ``registry`` need only hold the day, and files without one. The first run takes what it is given as
     the whole past. The state is a partition by day: a day whose files came late is measured again with the days after it.
     """
@@ -83,6 +85,7 @@ def measure_day(
         state = fold_state(stored.where(F.col("day") == F.lit(before)), days.where(F.col("day") > F.lit(before)))
     states = keep(state.withColumn("day", day), store, "size_state", ["day"], day=as_of)
     gaps = state_status(until(states, as_of, 0).drop("day"), days, as_of)
+    keep(unlisted_files(files, inventory).withColumn("day", day), store, "unlisted_files", ["day"], day=as_of)
     sizes = daily_sizes(files, inventory, as_of, registry, gaps)
     return until(keep(sizes, store, "daily_sizes", ["day"], day=as_of), as_of, 0)
 

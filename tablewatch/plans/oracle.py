@@ -507,6 +507,11 @@ ORACLE: dict[str, str] = {
         SELECT split_part(directory,'/',-1) AS name, count(DISTINCT app_id) AS queries FROM audit
         WHERE app_id NOT IN (SELECT 'application_170_'||lpad(CAST(doc_id%997 AS VARCHAR),4,'0') FROM labels WHERE toxic=1)
         GROUP BY 1""",
+    "usage_two_logs": """WITH audit AS (
+          SELECT split_part(url,'/',3) AS name, page_id, page_id%997 AS app,
+            CASE WHEN url LIKE 'https%' THEN DATE '2024-01-02' ELSE DATE '2024-01-03' END AS day FROM pages)
+        SELECT name, count(DISTINCT app) AS queries FROM audit WHERE (page_id%10<>1 OR day=DATE '2024-01-02')
+          AND app NOT IN (SELECT doc_id%997 FROM labels WHERE toxic=1 AND doc_id%997%10=0) GROUP BY name""",
     "usage_windows": """WITH audit AS (
           SELECT split_part(url,'/',3) AS name, page_id%997 AS app,
             CASE WHEN url LIKE 'https%' THEN DATE '2024-01-02' ELSE DATE '2024-01-03' END
@@ -637,6 +642,19 @@ ORACLE: dict[str, str] = {
            count(*) AS row_num FROM sales GROUP BY 1""", "sales"),
     "day_sizes_events": sql("SELECT * FROM edays", "files", "opened", "edays"),
     "hour_sizes_events": sql("SELECT name, event_id, day, hour, CAST(sum(length) AS BIGINT) AS bytes FROM files GROUP BY ALL", "files"),
+    "hour_sizes_written": sql(
+        """SELECT name, event_id, day, CASE WHEN name='click' THEN hour ELSE (hour+3)%24 END AS hour,
+             CAST(sum(length) AS BIGINT) AS bytes FROM files GROUP BY ALL""", "files"),
+    "undated_files": sql(
+        """SELECT w.name, w.event_id, w.source_kind, CAST(sum(f.length) AS BIGINT) AS file_bytes,
+             'InvalidDay'||count(*)||'Files' AS status
+           FROM files f JOIN watched w ON w.name=f.name AND w.event_id=f.event_id
+           WHERE f.hour%5=0 AND NOT (w.source_kind='db_export' AND w.partition_keys IN ('','month')) GROUP BY ALL""",
+        "files", "watched"),
+    "unlisted_files": sql(
+        """SELECT name, event_id, count(*) AS files, CAST(sum(length) AS BIGINT) AS file_bytes FROM files f
+           WHERE NOT EXISTS (SELECT 1 FROM watched w WHERE w.queries>3 AND w.name=f.name AND w.event_id=f.event_id)
+           GROUP BY ALL""", "files", "watched"),
     "latest_partitions": sql(
         """SELECT name, event_id, day, bytes FROM (SELECT *, row_number() OVER (PARTITION BY name, event_id ORDER BY day DESC) AS rn
            FROM odays) WHERE rn<=110""", "odays"),

@@ -125,6 +125,18 @@ def usage_by_path(spark, sf):
     )
 
 
+@query
+def usage_two_logs(spark, sf):
+    """Two audit logs that hold different reads, the first of them read for the day before only; of the applications to
+    leave out only those of one user count."""
+    audit, first = feeds.path_audit(spark, sf), F.col("src").endswith("1")
+    user = F.when(F.col("app_id").endswith("0"), "robot").otherwise("ann")
+    apps = feeds.excluded_apps(spark, sf).withColumn("user", user)
+    return usage.usage_by_table(
+        audit.where(first), audit.where(~first), [apps], feeds.AUDIT_DAY, feeds.AUDIT_ROOT, ["robot"]
+    )
+
+
 @query
 def usage_windows(spark, sf):
     """Applications of each directory over windows of one, two and three days, merged from bitmaps of single days."""
@@ -344,6 +356,29 @@ def hour_sizes_events(spark, sf):
     return sizes.hour_bytes(f, F.col("name") != "click")
 
 
+@query
+def hour_sizes_written(spark, sf):
+    """The same where files are written three hours after the hour they belong to."""
+    late = F.col("modificationTime") + F.expr("interval 3 hours")
+    return sizes.hour_bytes(feeds.files(spark, sf).withColumn("modificationTime", late), F.col("name") != "click")
+
+
+@query
+def undated_files(spark, sf):
+    """Rows of the daily sizes that tell of files without a valid day: here those of every fifth hour."""
+    f = feeds.files(spark, sf).withColumn("day", F.when(F.col("hour") % 5 != 0, F.col("day")))
+    found = sizes.daily_sizes(f, feeds.watched(spark, sf), EVENT_DAY, feeds.registry(spark, sf))
+    return found.where(F.col("status").startswith("InvalidDay")).select(
+        "name", "event_id", "source_kind", "file_bytes", "status"
+    )
+
+
+@query
+def unlisted_files(spark, sf):
+    """Files of tables that an inventory of the more used ones does not have."""
+    return sizes.unlisted_files(feeds.files(spark, sf), feeds.watched(spark, sf).where("queries > 3"))
+
+
 @query
 def latest_partitions(spark, sf):
     return sizes.recent_partitions(feeds.order_days(spark, sf), 110)

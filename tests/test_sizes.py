@@ -176,3 +176,13 @@ def test_files_without_a_valid_day_hide_no_other_state(spark):
     )
     got = {(r.name, r.change, r.detail) for r in volume.report_diff(report, D).collect()}
     assert got == {("t", "recovered", "CutOff1Days"), ("t", "undated", "InvalidDay2Files"), ("u", "new", "CutOff1Days"), ("u", "undated", "InvalidDay1Files")}
+
+
+def test_unlisted_files(spark, rows):
+    files = spark.createDataFrame(
+        [("a", "", dt.date(2024, 5, 20), 3), ("b", "", None, 5), ("b", "", dt.date(2024, 5, 20), 6), ("a", "1", None, 7)],
+        "name string, event_id string, day date, length long",
+    )
+    inventory = spark.createDataFrame([("a", ""), ("a", ""), ("c", ""), (None, "")], "name string, event_id string")
+    assert rows(sizes.unlisted_files(files, inventory)) == [("a", "1", 1, 7), ("b", "", 2, 11)]
+    assert rows(sizes.unlisted_files(files.where("false"), inventory)) == []
