@@ -518,7 +518,7 @@ ORACLE: dict[str, str] = {
               - CAST(length('/data/logs/'||split_part(url,'/',3)||'/day=2024-01-01/part-'||page_id)%4 AS INTEGER) AS day FROM pages),
         ends AS (SELECT DISTINCT a.name, a.day + CAST(i AS INTEGER) AS day, d AS days
           FROM audit a, range(0,3) r(i), range(1,4) s(d) WHERE i<d)
-        SELECT e.name, e.day, e.days, count(DISTINCT a.app) AS queries FROM ends e
+        SELECT e.name, e.day, CAST(e.days AS INTEGER) AS days, count(DISTINCT a.app) AS queries FROM ends e
         JOIN audit a ON a.name=e.name AND a.day>e.day-CAST(e.days AS INTEGER) AND a.day<=e.day
         WHERE e.day<=DATE '2024-01-03' GROUP BY ALL""",
     "recent_usage": sql(
