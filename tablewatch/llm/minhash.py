@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -27,7 +27,7 @@ from tablewatch.llm.words import mix, raw_words, shingles, word_ids
 BANDS, ROWS = 24, 4
 #: A pair is ruled out where at the similarity sought so few coordinates would agree once in so many cases.
 RULED_OUT = 1e-6
-#: Members of a bucket are compared in blocks of so many.
+#: Members of larger buckets are compared in blocks of so many.
 SIDE = 256
 _BLOCK = 2048
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -112,8 +112,8 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame, percent: int, least: int) -> DataFrame:
-    """The pairs (a, b) whose sizes and signatures do not rule out a link."""
+def _agreeing(pairs: DataFrame, least: int) -> DataFrame:
+    """The pairs (a, b) whose signatures ``x`` and ``y`` agree in at least so many coordinates."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,10 +121,19 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int, least: int) -> Dat
             keep = (one == two).sum(axis=1) >= least if batch.num_rows else []
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    return pairs.select("a", "b", "x", "y").mapInArrow(compare, "a binary, b binary")
+
+
+def _alike(one: str, two: str, percent: int) -> Column:
+    """Whether two sets of these sizes can be similar enough."""
+    return F.least(one, two) * 100 >= F.greatest(one, two) * percent
+
+
+def _likely(pairs: DataFrame, nodes: DataFrame, percent: int, least: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and signatures do not rule out a link."""
     one = nodes.select(F.col("node").alias("a"), F.col("signature").alias("x"), F.col("n").alias("na"))
     two = nodes.select(F.col("node").alias("b"), F.col("signature").alias("y"), F.col("n").alias("nb"))
-    both = pairs.join(one, "a").join(two, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    return both.select("a", "b", "x", "y").mapInArrow(compare, "a binary, b binary")
+    return _agreeing(pairs.join(one, "a").join(two, "b").where(_alike("na", "nb", percent)), least)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -160,18 +169,41 @@ _SIDE_KEY = ["band", "name", "chunk", "block"]
 def _leftovers(open_: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int, least: int) -> DataFrame:
     """Links (a, b) between members of a bucket that are in different components.
 
-    Leftovers are the members outside the component of their bucket's hub. A chunk of them meets a block of the bucket
-    at a time: a first pass by signatures tells who is needed where, a second one brings those sets and compares.
+    Leftovers are the members outside the component of their bucket's hub. They meet the members of a small bucket in
+    a join, those of a larger one block by block.
     """
-    light = open_.join(nodes.select("node", "n", "signature", "bands"), "node")
     sizes = open_.groupBy("band", "name").agg(F.count("*").alias("m"), F.count_if("over").alias("l")).where("l > 0")
-    light = light.join(sizes, ["band", "name"])
+    met = open_.join(sizes, ["band", "name"]).join(nodes.select("node", "n", "signature", "bands"), "node")
+    met = stored(met, "met")
+    few = _in_small(met.where(F.col("m") <= SIDE), nodes, docs, k, percent, least)
+    return few.unionAll(_in_blocks(met.where(F.col("m") > SIDE), nodes, docs, k, percent, least))
+
+
+def _in_small(met: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int, least: int) -> DataFrame:
+    """Links of leftovers in buckets of at most ``SIDE`` members, each of which meets at most so many others.
+
+    Components, sizes and signatures are compared where the bucket is joined, so that few pairs are shuffled.
+    """
+    one = met.where("over").select("band", "name", *(F.col(c).alias(to) for c, to in (("node", "a"), ("root", "ra"), ("n", "na"), ("signature", "x"))))
+    two = met.select("band", "name", "over", *(F.col(c).alias(to) for c, to in (("node", "b"), ("root", "rb"), ("n", "nb"), ("signature", "y"))))
+    # of two that are both left over, only one order
+    pairs = one.join(two, ["band", "name"]).where("ra <> rb and (not over or a < b)").where(_alike("na", "nb", percent))
+    pairs = stored(_agreeing(pairs, least).distinct(), "pairs")
+    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
+    return _confirmed(pairs, _sets(docs, _first_documents(ends, nodes), k), percent)
+
+
+def _in_blocks(met: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int, least: int) -> DataFrame:
+    """Links of leftovers in buckets of any size: a chunk of them meets a block of the bucket at a time.
+
+    A first pass by signatures tells who is needed where, a second one brings those sets and compares.
+    """
     chunks, blocks = (F.ceil(F.col(c) / SIDE).cast("int") for c in ("l", "m"))
     salt = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     columns = ["band", "name", "node", "root", "n", "over", "signature", "bands"]
-    left = light.where("over").select(*columns, salt(chunks).alias("chunk"), blocks.alias("of")).select(*columns, "chunk", every(F.col("of")).alias("block"))
-    right = light.select(*columns, salt(blocks).alias("block"), chunks.alias("of")).select(*columns, every(F.col("of")).alias("chunk"), "block")
+    left = met.where("over").select(*columns, salt(chunks).alias("chunk"), blocks.alias("of")).select(*columns, "chunk", every(F.col("of")).alias("block"))
+    right = met.select(*columns, salt(blocks).alias("block"), chunks.alias("of")).select(*columns, every(F.col("of")).alias("chunk"), "block")
     right = right.select(*(F.col(c).alias(f"right_{c}") for c in right.columns))
 
     def needed(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
@@ -190,7 +222,7 @@ def _leftovers(open_: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, perc
     need = left.groupBy(*_SIDE_KEY).cogroup(right.groupBy(*(f"right_{c}" for c in _SIDE_KEY))).applyInPandas(needed, schema)
     need = stored(need, "needed")
     sets = _sets(docs, _first_documents(need.select("node").distinct(), nodes), k)
-    rows = need.join(sets, "node").join(nodes.join(open_.select("node", "root").distinct(), "node").select("node", "root"), "node")
+    rows = need.join(sets, "node").join(met.select("node", "root").distinct(), "node")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         sets = {n: np.frombuffer(x, np.uint64) for n, x in zip(group.node, group["items"])}

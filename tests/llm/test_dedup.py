@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from conftest_texts import word_lists
+from tablewatch.llm import minhash
 from tablewatch.llm.lines import cut_lines, without_repeated_lines
 from tablewatch.llm.minhash import keep_first, least_agreeing, near_duplicates
 from tablewatch.llm.recompression import _chunks, _expanded, _ranges, repeat_digest, symbols, without_repeats
@@ -73,8 +74,10 @@ def brute_components(texts, k, percent):
     return [find(i) for i in range(len(texts))], [len(s) for s in sets]
 
 
-def test_near_duplicates_match_brute_force(spark):
-    """Copies of copies: chains whose ends are not linked, stars, and far members of a group."""
+@pytest.mark.parametrize("side", [256, 4])
+def test_near_duplicates_match_brute_force(spark, monkeypatch, side):
+    """Copies of copies: chains whose ends are not linked, stars, and far members of a group; buckets joined or in blocks."""
+    monkeypatch.setattr(minhash, "SIDE", side)
     rng = np.random.default_rng(3)
     texts = []
     for g in range(12):
