@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import bisect
 import json
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -28,6 +29,8 @@ CAPACITY = 2048
 VOCABULARY = "byte_bpe_50k.json"
 #: Entries of a worker's word cache before it starts anew.
 CACHE = 200_000
+#: Blanks at which a text can be cut, and blanks beside other white space, at which it can't.
+CUT, BESIDE = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\s | \s")
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -42,7 +45,7 @@ class Encoder:
     """Token ids of whole texts, as the ``tokenizers`` library gives them for a byte-level BPE file.
 
     Where ids ascend in merge order the vocabulary is run as ranks, word by word with a cache, which is several times
-    as fast; texts holding a special token or several spaces in a row are encoded whole.
+    as fast; texts holding a special token are encoded whole, white space of several characters with its neighbours.
     """
 
     def __init__(self, path: str):
@@ -76,11 +79,9 @@ class Encoder:
         """The ids as little-endian unsigned 32-bit integers."""
         if self.bpe is None or any(s in text for s in self.special):
             return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if "  " in text:
-            return self._encoded(text)
-        # one space belongs to the word after it, so no token crosses such a cut
+        # a blank between characters that are no white space belongs to the word after it: no token crosses such a cut
         words, out = self.words, []
-        first, *rest = text.split(" ")
+        first, *rest = CUT.split(text) if BESIDE.search(text) else text.split(" ")
         if first:
             out.append(self._encoded(first))
         for w in rest:
