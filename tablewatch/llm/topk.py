@@ -49,7 +49,7 @@ def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
 
 
 def pivot_table(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """(vec_id, v, norm, far, cell): squared norm, distances to the pivots, nearest pivot; vectors of the pivots' length only."""
+    """(vec_id, v, norm, far, cell): squared norm, distances to the pivots, nearest pivot; all vectors have the pivots' length."""
     dim = pivots.shape[1]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,7 +62,7 @@ def pivot_table(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(norm), lists, pa.array(far.argmin(axis=1).astype(np.int32))], names=["vec_id", "v", "norm", "far", "cell"])
 
     schema = "vec_id long, v array<bigint>, norm double, far array<double>, cell int"
-    return vectors.where(F.size("v") == dim).mapInArrow(measure, schema)
+    return vectors.mapInArrow(measure, schema)
 
 
 def candidates(vectors: DataFrame, k: int) -> DataFrame:
@@ -132,16 +132,16 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, pivots: int = PIVOTS) -> Dat
     """(query_id, rank, vec_id, score): for each query id the ``k`` other rows of highest inner product, ties to the smaller id.
 
     ``vectors`` has vec_id and integer components v. Rows with the query's id are its own and left out; other repeated
-    rows are separate candidates; of a query id with several vectors the smallest is searched for. Only vectors of one
-    length are compared: the most frequent one, the longer on ties.
+    rows are separate candidates; of a query id with several vectors the smallest is searched for. Components that one of
+    two vectors lacks count as zero, so vectors of all lengths are compared; an empty one scores 0 with every other.
     An empty table gives an empty result; a query with fewer than ``k`` candidates gets them all.
     """
     spark = vectors.sparkSession
-    lengths = vectors.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).first()
-    schema = "query_id long, rank int, vec_id long, score long"
-    if lengths is None or not lengths.dim:
-        return spark.createDataFrame([], schema)
-    alike = vectors.where(F.size("v") == lengths.dim)
+    longest = vectors.agg(F.max(F.size("v"))).first()[0]
+    if longest is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    dim = max(longest, 1)
+    alike = vectors.withColumn("v", F.concat("v", F.array_repeat(F.lit(0).cast("long"), F.lit(dim) - F.size("v"))))
     few = alike.orderBy(F.xxhash64("vec_id")).limit(PIVOT_SAMPLE).toPandas()
     chosen = choose_pivots(np.stack(few.v.to_numpy()).astype(np.float64), pivots)
     measured = stored(pivot_table(candidates(alike, k), chosen), "pivots")
@@ -189,7 +189,7 @@ WITH v AS (
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e[:least(len(q.e), len(c.e))], c.e[:least(len(q.e), len(c.e))])::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
