@@ -20,8 +20,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tablewatch.llm.common import extended, table
+from tablewatch.llm.common import extended, quoted, table
 
 VOCABULARY = "piece_bpe_32k.model"
 SAMPLES = 3
@@ -206,10 +207,13 @@ def encode_samples(rows: DataFrame, seed: Column, k: int = SAMPLES, path: str |
 
     The last of ``k`` segmentations sets the threshold of the inclusion probabilities. The seed is a number from the
     row's key, so a row gets the same segmentations in every run and partitioning. A null text is taken as empty.
-    In a text that holds the mark of the vocabulary itself, it comes back as a space. Other columns are kept.
+    In a text that holds the mark of the vocabulary itself, it comes back as a space. Other columns are kept, whatever
+    their names, but for those named like a result, which the result replaces.
     """
-    names = rows.columns
     made = "sample int, ids array<int>, log_prob double, inclusion double, decoded string"
+    results = StructType.fromDDL(made).names
+    names = [n for n in rows.columns if n.lower() not in results]
+    kept = rows.select(*quoted(names)).schema
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = vocabulary(path)
@@ -222,12 +226,13 @@ def encode_samples(rows: DataFrame, seed: Column, k: int = SAMPLES, path: str |
                     for n, ((ids, logp, _), share) in enumerate(zip(found, inclusion(found, k))):
                         at.append(i)
                         out.append((n + 1, ids, logp, share, decode(pieces, ids)))
-                kept = [c.take(pa.array(at, pa.int64())) for c in batch.columns[: len(names)]]
+                others = [c.take(pa.array(at, pa.int64())) for c in batch.columns[: len(names)]]
                 types = [pa.int32(), pa.list_(pa.int32()), pa.float64(), pa.float64(), pa.string()]
                 cols = [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, types)]
-                yield pa.RecordBatch.from_arrays([*kept, *cols], names=[*names, "sample", "ids", "log_prob", "inclusion", "decoded"])
+                yield pa.RecordBatch.from_arrays([*others, *cols], names=[*names, *results])
 
-    return rows.withColumn("_seed", seed).mapInArrow(draw, extended(rows.schema, made))
+    numbered = rows.select(*(c.alias(f"c{i}") for i, c in enumerate([*quoted(names), seed])))
+    return numbered.mapInArrow(draw, extended(kept, made))
 
 
 def op2_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:

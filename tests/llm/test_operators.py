@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tablewatch.llm import language, quality, sampling, toxicity
 from tablewatch.llm.fingerprints import as_text, fingerprint, likeness, with_next
 from tablewatch.llm.packing import match_runs, pack, pack_documents, pieces
-from tablewatch.llm.topk import integer_vectors, top_k
+from tablewatch.llm.topk import OP6_SQL, integer_vectors, top_k
 
 
 def brute_best_fit(lengths, capacity):
@@ -73,6 +73,20 @@ def test_fast_encoding_is_the_tokenizers_one(spark, text):
     assert np.frombuffer(encoder(None)(text), "<u4").tolist() == ids
 
 
+def test_fast_encoding_of_random_texts():
+    """White space of all kinds, control characters, marks and letters in any order."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tablewatch.llm.packing import encoder
+
+    whole, rng = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), np.random.default_rng(2)
+    letters = list(" " * 8 + "ab'sé9.-\n\t\r\x0b\x1c\x1f\x85\xa0\u1680\u2003\u2028\u200b\u3000\ufeff日")
+    for _ in range(20_000):
+        text = "".join(rng.choice(letters, rng.integers(1, 12)))
+        assert np.frombuffer(encoder(None)(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_packing_edges(spark, edge, none):
     rows = pack_documents(edge).collect()
     assert check_packed(rows, 2048) and {r.doc_id for r in rows} == {None, *range(12)}
@@ -118,6 +132,15 @@ def test_segmentations_round_trip(edge, none):
     assert sampling.encode_samples(none, F.xxhash64("doc_id")).count() == 0
 
 
+def test_segmentations_beside_clashing_names(edge):
+    """Columns named like helpers stay; those named like a result are replaced by it."""
+    clashing = edge.where("doc_id in (2, 5, 6)").withColumns({n: F.lit("mine") for n in ["_seed", "c0", "a.b", "Sample", "ids", "decoded"]})
+    rows = sampling.encode_samples(clashing, F.xxhash64("doc_id", "Sample"), k=2)
+    assert rows.columns == [c for c in clashing.columns if c not in ("Sample", "ids", "decoded")] + ["sample", "ids", "log_prob", "inclusion", "decoded"]
+    found = rows.collect()
+    assert {r.doc_id for r in found} == {2, 5, 6} and all(r["_seed"] == r["c0"] == r["a.b"] == "mine" and r.decoded == (r.text or "") for r in found)
+
+
 def test_quality_separates_bad_texts(spark, sf, docs, none, edge):
     found = quality.judge(docs, quality.learn(docs)).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
     good, bad = ([r.score for r in found if r.quality == q] for q in (1, 0))
@@ -200,7 +223,7 @@ def test_language_edges(edge, none, docs):
 
 
 def brute_top(rows, k):
-    ok = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    ok = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = set()
     for q, v in ok:
         if q % 5 == 0:
@@ -219,6 +242,21 @@ def test_top_k_matches_brute_force(spark, count):
     assert got == brute_top(rows, 5)
 
 
+@pytest.mark.parametrize("lengths", [[3, 2], [0, 0, 4], [0], [1, 5, 0, 9]])
+def test_top_k_of_vectors_of_several_lengths(spark, lengths):
+    """No vector is left out, and the SQL says the same: components that one of two lacks count as zero."""
+    import duckdb
+
+    rng = np.random.default_rng(len(lengths))
+    rows = [(10 * i, rng.integers(-3, 4, lengths[i % len(lengths)]).astype(float).tolist()) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {tuple(r) for r in top_k(integer_vectors(df), F.col("vec_id") % 50 == 0, pivots=4).collect()}
+    con = duckdb.connect()
+    con.execute("create table embeddings (vec_id bigint, embedding double[])")
+    con.executemany("insert into embeddings values (?, ?)", rows)
+    assert got == set(con.execute(OP6_SQL).fetchall()) and len(got) == 6 * 5
+
+
 def test_top_k_with_a_common_vector(spark):
     rng = np.random.default_rng(1)
     common = [2.0, -1.0, 3.0, 0.0]
