@@ -30,7 +30,7 @@ VOCABULARY = "byte_bpe_50k.json"
 #: Entries of a worker's word cache before it starts anew.
 CACHE = 200_000
 #: Blanks at which a text can be cut, and blanks beside other white space, at which it can't.
-CUT, BESIDE = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\s | \s")
+CUT, BESIDE = re.compile(r" (?<=\S )(?=\S)"), re.compile(r" (?:(?<=\s )|(?=\s))")
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
