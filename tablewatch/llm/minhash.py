@@ -29,6 +29,8 @@ BANDS, ROWS = 24, 4
 RULED_OUT = 1e-6
 #: Members of larger buckets are compared in blocks of so many.
 SIDE = 256
+#: Buckets of at most so many members are compared in a join, where every pair is a row: a leftover makes at most so many.
+FEW = 32
 _BLOCK = 2048
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S = np.uint64(32)
@@ -175,12 +177,13 @@ def _leftovers(open_: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, perc
     sizes = open_.groupBy("band", "name").agg(F.count("*").alias("m"), F.count_if("over").alias("l")).where("l > 0")
     met = open_.join(sizes, ["band", "name"]).join(nodes.select("node", "n", "signature", "bands"), "node")
     met = stored(met, "met")
-    few = _in_small(met.where(F.col("m") <= SIDE), nodes, docs, k, percent, least)
-    return few.unionAll(_in_blocks(met.where(F.col("m") > SIDE), nodes, docs, k, percent, least))
+    most = min(FEW, SIDE)
+    few = _in_small(met.where(F.col("m") <= most), nodes, docs, k, percent, least)
+    return few.unionAll(_in_blocks(met.where(F.col("m") > most), nodes, docs, k, percent, least))
 
 
 def _in_small(met: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int, least: int) -> DataFrame:
-    """Links of leftovers in buckets of at most ``SIDE`` members, each of which meets at most so many others.
+    """Links of leftovers in buckets of at most ``FEW`` members, each of which meets at most so many others.
 
     Components, sizes and signatures are compared where the bucket is joined, so that few pairs are shuffled.
     """

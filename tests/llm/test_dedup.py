@@ -10,6 +10,7 @@ import pytest
 
 from conftest_texts import word_lists
 from tablewatch.llm import minhash
+from tablewatch.llm.common import stored
 from tablewatch.llm.lines import cut_lines, without_repeated_lines
 from tablewatch.llm.minhash import keep_first, least_agreeing, near_duplicates
 from tablewatch.llm.recompression import _chunks, _expanded, _ranges, repeat_digest, symbols, without_repeats
@@ -100,6 +101,33 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, side):
     assert all(got[i].kept == (roots[i] == i) for i in range(len(texts)))
 
 
+def test_copies_that_are_not_linked_make_no_row_for_each_pair(spark, monkeypatch):
+    """Copies of one text share buckets and agree in most coordinates, though hardly any two are linked: most pairs are
+    compared without being stored as rows, and no link is lost."""
+    copies, made = 160, {}
+
+    def counted(df, label, *by):
+        out = stored(df, label, *by)
+        made[label] = made.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "stored", counted)
+    rng = np.random.default_rng(copies)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for g in range(copies):
+        # one in ten is a near copy of the one before
+        copy = list(copy if g % 10 == 9 else base)
+        for at in rng.choice(200, 1 if g % 10 == 9 else 8, replace=False):
+            copy[at] = f"x{rng.integers(1e9)}"
+        texts.append(" ".join(copy))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in near_duplicates(df, k=2).collect()}
+    roots, _ = brute_components(texts, 2, 80)
+    assert [got[i] for i in range(copies)] == roots and copies // 2 < len(set(roots)) < copies
+    assert made["pairs"] < copies * (copies - 1) // 8
+
+
 def test_near_duplicates_match_brute_force_on_documents(docs):
     rows = {r.doc_id: r.text for r in docs.collect()}
     ids = sorted(rows)
