@@ -276,7 +276,8 @@ def test_phrases_edges(edge, none):
 def test_query_equals_its_sql(spark, sf, name):
     df = llm.QUERIES[name](spark, sf)
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{sf}/documents.parquet'")
+    for t in ("documents", "embeddings"):
+        con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
     cursor = con.execute(llm.ORACLE[name])
     assert set(df.columns) == {d[0] for d in cursor.description}
     assert got(df, *[d[0] for d in cursor.description]) == columns_of(cursor.fetchall())
